@@ -18,31 +18,25 @@ def _micros(column: str):
     return F.unix_micros(F.col(column))
 
 
-def session_starts(events: DataFrame, key: str, ts: str, order: str, gap_seconds: int) -> DataFrame:
-    """Adds ``_new``: 1 where more than the gap has passed since the key's previous event."""
-    day = F.to_date(ts)
-    pieces = events.withColumn("_day", day)
-    ends = pieces.groupBy(key, "_day").agg(F.max(_micros(ts)).alias("_end"))
-    earlier = F.lag("_end").over(Window.partitionBy(key).orderBy("_day"))
-    ends = ends.select(key, "_day", earlier.alias("_carried"))
-    inside = Window.partitionBy(key, "_day").orderBy(ts, order)
-    previous = F.coalesce(F.lag(_micros(ts)).over(inside), F.col("_carried"))
-    joined = pieces.join(ends, [key, "_day"])
-    idle = _micros(ts) - previous
-    return joined.withColumn("_new", F.when(previous.isNull() | (idle > gap_seconds * 1_000_000), 1).otherwise(0)).drop(
-        "_carried"
-    )
-
+def sessions(events: DataFrame, key: str = "user_id", ts: str = "ts", gap_seconds: int = 1800) -> DataFrame:
+    """Sessions per key: number, start, end, events. A gap of exactly the limit stays inside.
 
-def sessions(events: DataFrame, key: str = "user_id", ts: str = "ts", order: str = "event_id", gap_seconds: int = 1800) -> DataFrame:
-    """Sessions per key: number, start, end, events. A gap of exactly the limit stays inside."""
-    started = session_starts(events, key, ts, order, gap_seconds)
-    numbered = carried_sum(started, key, "_day", [F.col(ts), F.col(order)], F.col("_new").cast("double"))
-    number = (F.col("_before") + F.col("_local")).cast("bigint")
+    Time is cut into slots as long as the gap: events of one slot always share a
+    session, so each (key, slot) shrinks to one row before the shuffle and only
+    those rows are ordered.
+    """
+    gap = gap_seconds * 1_000_000
+    slots = events.groupBy(key, F.floor(_micros(ts) / gap).alias("_slot")).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    along = Window.partitionBy(key).orderBy("_slot")
+    idle = _micros("_first") - F.lag(_micros("_last")).over(along)
+    opened = slots.withColumn("_new", F.when(idle.isNull() | (idle > gap), 1).otherwise(0))
+    number = F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        numbered.withColumn("session", number)
+        opened.withColumn("session", number)
         .groupBy(key, "session")
-        .agg(F.min(ts).alias("started"), F.max(ts).alias("ended"), F.count(F.lit(1)).alias("n_events"))
+        .agg(F.min("_first").alias("started"), F.max("_last").alias("ended"), F.sum("_n").alias("n_events"))
     )
 
 
@@ -72,17 +66,23 @@ def islands(df: DataFrame, key: str, day: str) -> DataFrame:
 def running_total(df: DataFrame, key: str, bucket, order: Sequence, value: str) -> DataFrame:
     """Cumulative sum per key in the given order; ``bucket`` must rise with the order."""
     summed = carried_sum(df.withColumn("_bucket", bucket), key, "_bucket", list(order), F.col(value))
-    total = F.col("_before") + F.col("_local")
-    return summed.withColumn("running_total", total).drop("_bucket", "_before", "_local", "_piece")
+    return summed.withColumn("running_total", F.col("_before") + F.col("_local")).drop("_bucket", "_before", "_local")
+
 
+def rows_and_range_totals(
+    df: DataFrame, key: str, peer: str, row_id: str, value: str, slice_width: int = 1_000_000
+) -> DataFrame:
+    """Both running totals on ties: row by row, and up to all peers (rows equal in ``peer``).
 
-def rows_and_range_totals(df: DataFrame, key: str, peer: str, order: Sequence, value: str) -> DataFrame:
-    """Both running totals on ties: by row, and by all peers (rows equal in ``peer``)."""
-    summed = carried_sum(df, key, peer, list(order), F.col(value))
+    Peers are ordered by ``row_id`` and cut into slices of it, so that neither a
+    hot key nor a hot tie is gathered.
+    """
+    bucket = F.struct(F.col(peer), F.floor(F.col(row_id) / slice_width).alias("_slice"))
+    summed = carried_sum(df.withColumn("_bucket", bucket), key, "_bucket", [F.col(row_id)], F.col(value), peer)
     return (
         summed.withColumn("rows_total", F.col("_before") + F.col("_local"))
-        .withColumn("range_total", F.col("_before") + F.col("_piece"))
-        .drop("_before", "_local", "_piece")
+        .withColumnRenamed("_peers", "range_total")
+        .drop("_bucket", "_before", "_local")
     )
 
 

@@ -336,7 +336,8 @@ REVISED = "SELECT doc_id, source, text || ' revised' AS text FROM documents WHER
 
 @query(
     "incremental_second_run",
-    "SELECT count(*) AS n_new FROM documents WHERE false",
+    D.with_(D.chunks())
+    + "SELECT count(DISTINCT chunk_id) AS n_new FROM chunks WHERE chunk_id NOT IN (SELECT chunk_id FROM chunks)",
 )
 def incremental_second_run(spark, sf_dir):
     """A second run over unchanged chunks finds nothing to encode."""

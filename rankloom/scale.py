@@ -112,21 +112,25 @@ def carried_sum(
     bucket: str,
     order: Sequence[Column],
     value: Column,
+    peer: str | None = None,
 ) -> DataFrame:
     """Per-key running sum without gathering a key in one task.
 
     Rows are summed inside (key, bucket) pieces, where ``bucket`` rises with the
     order; piece totals (one row per piece) give each piece its carry-in.
-    Adds ``_local`` (running sum in the piece), ``_before`` (sum of all earlier
-    pieces) and ``_piece`` (sum of the piece).
+    Adds ``_local`` (running sum in the piece) and ``_before`` (sum of all earlier
+    pieces); with ``peer``, constant in a piece, also ``_peers`` (sum up to and
+    including all rows of that peer value).
     """
-    totals = df.groupBy(key, bucket).agg(F.sum(value).alias("_piece"))
-    earlier = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_before", F.coalesce(F.sum("_piece").over(earlier), F.lit(0.0)))
-    inside = (
-        Window.partitionBy(key, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return df.withColumn("_local", F.sum(value).over(inside)).join(totals, [key, bucket])
+    held = [key, bucket] if peer is None else [key, bucket, peer]
+    totals = df.groupBy(*held).agg(F.sum(value).alias("_piece"))
+    along = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("_before", F.coalesce(F.sum("_piece").over(along), F.lit(0.0)))
+    if peer is not None:
+        level = Window.partitionBy(key).orderBy(peer).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        totals = totals.withColumn("_peers", F.sum("_piece").over(level)).drop(peer)
+    inside = Window.partitionBy(key, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn("_local", F.sum(value).over(inside)).join(totals.drop("_piece"), [key, bucket])
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
