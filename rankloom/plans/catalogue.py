@@ -4,7 +4,7 @@ import importlib
 
 from rankloom.plans.registry import QUERIES, SQL
 
-for _module in ("retrieval", "vectors", "upkeep", "analytics"):
+for _module in ("retrieval", "vectors", "upkeep", "analytics", "streams"):
     importlib.import_module(f"rankloom.plans.{_module}")
 
 __all__ = ["QUERIES", "SQL"]
