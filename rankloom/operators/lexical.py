@@ -31,7 +31,8 @@ def corpus_stats(corpus: DataFrame) -> DataFrame:
 def document_frequency(corpus: DataFrame) -> DataFrame:
     """Rows per term. Terms are made distinct inside the row, so no (row, term) shuffle is needed."""
     terms = corpus.select(F.explode(F.array_distinct("terms")).alias("term"))
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # the filter a join on term would add, so that all uses share one exchange
+    return terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def query_weights(queries: DataFrame, corpus: DataFrame, text: str = "query") -> DataFrame:
@@ -58,26 +59,50 @@ def query_weights(queries: DataFrame, corpus: DataFrame, text: str = "query") ->
 
 
 class LexicalScorer:
-    """BM25 of a block of queries against a block of rows, as one sparse product."""
+    """BM25 of a block of queries against a block of rows.
+
+    Scores are a product of two sparse matrices. Terms that many queries ask for
+    would meet every row that holds them, so those go through a dense product;
+    the others are added up one by one.
+    """
 
     query_columns = ("term", "weight", "avgdl")
     corpus_columns = ("terms",)
+    dense_share = 64  # a term is common when one query in this many asks for it
+    dense_cells = 16_000_000
 
     def prepare(self, queries: pa.Table) -> QueryBlock:
         if queries.num_rows == 0:
             return QueryBlock(pa.array([]), None)
         q = pa.concat_arrays(queries.column("query_id").chunks).dictionary_encode()
         t = pa.concat_arrays(queries.column("term").chunks).dictionary_encode()
-        term = t.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(term, kind="stable")
-        starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(t.dictionary)))])
+        query = q.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        term = t.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        weight = queries.column("weight").to_numpy()
+        n, fan = len(q.dictionary), np.bincount(term, minlength=len(t.dictionary))
+        common = np.argsort(-fan, kind="stable")[: self.dense_cells // n]
+        common = common[fan[common] * self.dense_share >= n]
+        # a weight of zero would be lost in the dense product
+        zero = np.unique(term[weight == 0])
+        common = common[~np.isin(common, zero)]
+        place = np.full(len(fan), -1, np.int64)
+        place[common] = np.arange(len(common))
+        dense = np.zeros((n, len(common)))
+        of_common = place[term] >= 0
+        dense[query[of_common], place[term[of_common]]] = weight[of_common]
+        rare_query, rare_term, rare_weight = query[~of_common], term[~of_common], weight[~of_common]
+        order = np.argsort(rare_term, kind="stable")
         state = {
             "vocabulary": t.dictionary,
-            "starts": starts,
-            "query": q.indices.to_numpy(zero_copy_only=False)[order],
-            "weight": queries.column("weight").to_numpy()[order],
+            "n": n,
             "avgdl": queries.column("avgdl")[0].as_py(),
-            "n": len(q.dictionary),
+            "place": place,
+            "dense": dense,
+            "starts": np.concatenate([[0], np.cumsum(np.bincount(rare_term, minlength=len(fan)))]),
+            "query": rare_query[order],
+            "weight": rare_weight[order],
+            # with weights above zero a score above zero tells that a term matched
+            "positive": bool((weight > 0).all()),
         }
         return QueryBlock(q.dictionary, state)
 
@@ -85,7 +110,7 @@ class LexicalScorer:
         terms = rows.column("terms")
         terms = terms.combine_chunks() if isinstance(terms, pa.ChunkedArray) else terms
         terms = pa.concat_arrays(terms.chunks) if isinstance(terms, pa.ChunkedArray) else terms
-        n_rows, n_terms = len(terms), len(state["vocabulary"])
+        n_terms = len(state["vocabulary"])
         length = pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.float64)
         found = pc.index_in(terms.flatten(), value_set=state["vocabulary"])
         hit = pc.is_valid(found).to_numpy(zero_copy_only=False)
@@ -94,15 +119,28 @@ class LexicalScorer:
         pair, tf = np.unique(row * n_terms + term, return_counts=True)
         row, term = pair // n_terms, pair % n_terms
         impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[row] / state["avgdl"]))
-        # every (row, term) meets the queries that ask for the term
+        total = self._product(state, row, term, impact, len(terms))
+        if state["positive"]:
+            total[total <= 0] = np.nan
+        else:
+            ones = {**state, "dense": (state["dense"] != 0) * 1.0, "weight": np.ones_like(state["weight"])}
+            total[self._product(ones, row, term, np.ones_like(impact), len(terms)) == 0] = np.nan
+        return total
+
+    @staticmethod
+    def _product(state: dict, row: np.ndarray, term: np.ndarray, impact: np.ndarray, n_rows: int) -> np.ndarray:
+        place = state["place"][term]
+        common = place >= 0
+        held = np.zeros((n_rows, state["dense"].shape[1]))
+        held[row[common], place[common]] = impact[common]
+        total = state["dense"] @ held.T
+        row, term, impact = row[~common], term[~common], impact[~common]
         fan = state["starts"][term + 1] - state["starts"][term]
-        source = np.repeat(np.arange(len(pair)), fan)
-        ask = np.arange(len(source)) - np.repeat(np.cumsum(fan) - fan, fan) + np.repeat(state["starts"][term], fan)
-        slot = state["query"][ask].astype(np.int64) * n_rows + row[source]
-        cells = state["n"] * n_rows
-        total = np.bincount(slot, weights=impact[source] * state["weight"][ask], minlength=cells)
-        total[np.bincount(slot, minlength=cells) == 0] = np.nan
-        return total.reshape(state["n"], n_rows)
+        source = np.repeat(np.arange(len(row)), fan)
+        ask = np.arange(len(source)) - np.repeat(np.cumsum(fan) - fan - state["starts"][term], fan)
+        slot = state["query"][ask] * n_rows + row[source]
+        added = np.bincount(slot, weights=impact[source] * state["weight"][ask], minlength=total.size)
+        return total + added.reshape(total.shape)
 
 
 def bm25(

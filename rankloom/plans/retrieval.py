@@ -11,7 +11,7 @@ from rankloom.operators import chunking, encoding, evaluation, lexical, ranking,
 from rankloom.plans import duck as D
 from rankloom.plans import tables
 from rankloom.plans.registry import query
-from rankloom.scale import broadcast_if_small, union_all
+from rankloom.scale import broadcast_if_small, through_table, union_all
 
 KEYS = ["doc_id", "chunk_index"]
 CANDIDATES = 40  # chunks looked at before collapsing to documents (pure rankers)
@@ -50,8 +50,9 @@ def doc_rankings(spark, sf_dir, size=32, overlap=8, rankers=("vec", "bm25", "hyb
         "vec": lambda: vector_chunks(spark, sf_dir, FUSION_CANDIDATES, size, overlap),
         "bm25": lambda: bm25_chunks(spark, sf_dir, FUSION_CANDIDATES, size, overlap),
     }
-    # a few rows per query, read twice when fused
-    made = {n: wanted[n]().persist() for n in ("vec", "bm25") if n in rankers or "hybrid" in rankers}
+    # a few rows per query, written once because fusion reads them again
+    used = [n for n in wanted if n in rankers or "hybrid" in rankers]
+    made = {n: through_table(wanted[n](), f"{n}-ranking") for n in used}
     if "hybrid" in rankers:
         made["hybrid"] = ranking.reciprocal_rank_fusion(
             {"vec": made["vec"], "bm25": made["bm25"]}, FUSION_CANDIDATES, KEYS

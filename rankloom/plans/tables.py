@@ -63,7 +63,7 @@ def chunk_index(spark: SparkSession, sf_dir: str, size: int = CHUNK[0], overlap:
 
     def build() -> DataFrame:
         chunks = fixed_chunks(documents(spark, sf_dir).select("doc_id", "topic", "text"), size, overlap)
-        return embed(chunks.withColumn("terms", T.word_terms(F.col("text"))))
+        return embed(chunks).withColumn("terms", T.word_terms(F.col("text")))
 
     return _once(spark, ("chunk-index", sf_dir, size, overlap), build)
 
@@ -72,7 +72,7 @@ def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with terms and vectors, written once."""
 
     def build() -> DataFrame:
-        return embed(documents(spark, sf_dir).withColumn("terms", T.word_terms(F.col("text"))))
+        return embed(documents(spark, sf_dir)).withColumn("terms", T.word_terms(F.col("text")))
 
     return _once(spark, ("doc-index", sf_dir), build)
 

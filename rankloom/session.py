@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # AQE sizes and splits shuffle partitions at run time; the skew settings let it
@@ -11,15 +15,30 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: tasks that run Python import it."""
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='rankloom-')}/rankloom", "zip", root_dir=root.parent, base_dir=root.name
+        )
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(application)
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the run-time SQL settings on a session somebody else created."""
+    """Set the run-time SQL settings on a session somebody else created, and ship the package."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    ship_package(spark)
     return spark
 
 
