@@ -65,7 +65,7 @@ def projection_search(
         hashed = model.transform(_as_ml(df)).drop("_ml")
         opened = hashed.select(*df.columns, F.posexplode("_hashes").alias("_table", "_hash"))
         number = vector_to_array("_hash")[0].cast("bigint")
-        return opened.select(*df.columns, F.struct("_table", number.alias("_bucket")).alias("cell"))
+        return opened.select(*df.columns, F.concat_ws(":", "_table", number).alias("cell"))
 
     return top_k(bucketed(queries), bucketed(vectors), VectorScorer(), k, keys, cell="cell")
 

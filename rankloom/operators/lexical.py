@@ -35,11 +35,10 @@ def document_frequency(corpus: DataFrame) -> DataFrame:
     return terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def query_weights(queries: DataFrame, corpus: DataFrame, text: str = "query") -> DataFrame:
-    """(query_id, term, weight, avgdl): idf times the term's count in the query.
+def term_weights(corpus: DataFrame) -> DataFrame:
+    """(term, idf, avgdl) of a corpus: the statistics to store beside its index.
 
     A negative idf becomes EPSILON times the mean idf of the whole vocabulary.
-    Terms the corpus lacks drop out.
     """
     stats = corpus_stats(corpus)
     n = stats.select("n").scalar()
@@ -47,15 +46,21 @@ def query_weights(queries: DataFrame, corpus: DataFrame, text: str = "query") ->
         "idf", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     )
     floor = frequency.agg((F.avg("idf") * EPSILON).alias("floor"))
+    idf = F.when(F.col("idf") < 0, floor.scalar()).otherwise(F.col("idf"))
+    return frequency.select("term", idf.alias("idf"), stats.select("avgdl").scalar().alias("avgdl"))
+
+
+def query_weights(queries: DataFrame, weights: DataFrame, text: str = "query") -> DataFrame:
+    """(query_id, term, weight, avgdl): idf times the term's count in the query.
+
+    Terms the corpus lacks drop out.
+    """
     asked = (
         queries.select("query_id", F.explode(T.word_terms(F.col(text))).alias("term"))
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
-    idf = F.when(F.col("idf") < 0, floor.scalar()).otherwise(F.col("idf"))
-    return asked.join(frequency, "term").select(
-        "query_id", "term", (F.col("qtf") * idf).alias("weight"), stats.select("avgdl").scalar().alias("avgdl")
-    )
+    return asked.join(weights, "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"), "avgdl")
 
 
 class LexicalScorer:
@@ -72,8 +77,6 @@ class LexicalScorer:
     dense_cells = 16_000_000
 
     def prepare(self, queries: pa.Table) -> QueryBlock:
-        if queries.num_rows == 0:
-            return QueryBlock(pa.array([]), None)
         q = pa.concat_arrays(queries.column("query_id").chunks).dictionary_encode()
         t = pa.concat_arrays(queries.column("term").chunks).dictionary_encode()
         query = q.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -108,7 +111,6 @@ class LexicalScorer:
 
     def scores(self, state: dict, rows: pa.Table) -> np.ndarray:
         terms = rows.column("terms")
-        terms = terms.combine_chunks() if isinstance(terms, pa.ChunkedArray) else terms
         terms = pa.concat_arrays(terms.chunks) if isinstance(terms, pa.ChunkedArray) else terms
         n_terms = len(state["vocabulary"])
         length = pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.float64)
@@ -149,6 +151,11 @@ def bm25(
     k: int,
     keys: Sequence[str],
     text: str = "query",
+    weights: DataFrame | None = None,
 ) -> DataFrame:
-    """Top-k rows of ``corpus`` (keys, terms) per query; rows sharing no term are no hits."""
-    return top_k(query_weights(queries, corpus, text), corpus, LexicalScorer(), k, keys)
+    """Top-k rows of ``corpus`` (keys, terms) per query; rows sharing no term are no hits.
+
+    ``weights`` are the stored ``term_weights`` of the corpus; they are computed when not given.
+    """
+    weights = term_weights(corpus) if weights is None else weights
+    return top_k(query_weights(queries, weights, text), corpus, LexicalScorer(), k, keys)

@@ -1,15 +1,17 @@
 """Exact top-k of a query table against a corpus of any size.
 
-The score of every (query, row) pair is computed in blocks inside a task and cut
-to the block's own k best before anything leaves the task, so pairs are never
-shuffled. Two layouts, same result:
+The score of every (query, row) pair is computed in blocks inside a task. A task
+keeps the k best scores of each query so far and lets only rows out that reach
+them, so pairs are never shuffled. Two layouts, same result:
 
 * ``scan``: the query side has been measured and is broadcast; the corpus is read
   in place, with no shuffle of it.
 * ``grid``: query side of any size. Both sides are dealt into blocks of bounded
-  size and each (query block, corpus block) is scored by its own task. ``cell``
-  restricts scoring to equal cells (a topic, an access group, an index cell);
-  a hot cell simply gets more blocks.
+  size and each (query block, corpus block) is scored by its own task.
+
+In both, ``cell`` restricts scoring to rows of the query's own cell (a topic, an
+access group, an index cell). A hot cell is read where it lies (scan) or gets
+more blocks (grid).
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from pyspark.sql import types as S
 from rankloom.operators.ranking import ranked
 from rankloom.scale import broadcast_if_small, cut_lineage, is_small
 
-TILE_SCORES = 4_000_000
+QUERY_TILE = 400
+ROW_TILE = 10_000
 CORPUS_BLOCK = 50_000
 QUERY_BLOCK = 4_000
 SCAN_QUERY_ROWS = 500_000
@@ -40,7 +43,9 @@ class Scorer(Protocol):
     query_columns: Sequence[str]
     corpus_columns: Sequence[str]
 
-    def prepare(self, queries: pa.Table): ...
+    def prepare(self, queries: pa.Table) -> QueryBlock:
+        """State for a block of queries, made once per task."""
+        ...
 
     def scores(self, state, rows: pa.Table) -> np.ndarray:
         """(queries, rows) doubles; NaN where the row is no candidate."""
@@ -48,18 +53,33 @@ class Scorer(Protocol):
 
 
 class QueryBlock:
-    """Query ids of a block with the scorer's own state."""
+    """Query ids of a block, the scorer's own state, and the best scores seen so far."""
 
     def __init__(self, ids: pa.Array, data):
         self.ids = ids
         self.data = data
+        self.best: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.ids)
 
+    def admit(self, q: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+        """Which of the hits (at most k per query, best first) may still be among the k best.
+
+        A hit below the k-th best score seen so far cannot be; an equal one can,
+        as keys decide between equals.
+        """
+        if self.best is None:
+            self.best = np.full((len(self), k), -np.inf)
+        keep = score >= self.best.min(axis=1)[q]
+        fresh = np.full((len(self), k), -np.inf)
+        fresh[q, np.arange(len(q)) - np.searchsorted(q, np.arange(len(self)))[q]] = score
+        self.best = np.partition(np.concatenate([self.best, fresh], axis=1), k, axis=1)[:, k:]
+        return keep
 
-def best_positions(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, row) positions of the k best per query; equal 9-place scores keep row order."""
+
+def best_positions(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, 9-place score) of the k best per query; equal scores keep row order."""
     rounded = np.round(scores, 9)
     rounded[np.isnan(rounded)] = -np.inf
     if rounded.shape[1] > k:
@@ -71,21 +91,54 @@ def best_positions(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((r, -rounded[q, r], q))
     q, r = q[order], r[order]
     place = np.arange(len(q)) - np.searchsorted(q, np.arange(len(scores)))[q]
-    return q[place < k], r[place < k]
+    q, r = q[place < k], r[place < k]
+    return q, r, rounded[q, r]
+
+
+def _flat(column) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
 
 
-def _block_hits(scorer, block: QueryBlock, rows: pa.Table, keys: list[str], k: int) -> Iterator[pa.RecordBatch]:
-    step = max(1, TILE_SCORES // max(1, len(block)))
-    for start in range(0, rows.num_rows, step):
-        tile = rows.slice(start, step).combine_chunks()
+def query_blocks(scorer: Scorer, queries: pa.Table, size: int | None = None) -> list[QueryBlock]:
+    """The query table in blocks of ``size`` queries; a query may have several rows."""
+    if queries.num_rows == 0:
+        return []
+    number = _flat(queries.column("query_id").combine_chunks().dictionary_encode()).indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(number, kind="stable")
+    ordered = queries.take(pa.array(order))
+    size = size or QUERY_TILE
+    edges = np.searchsorted(number[order], np.arange(0, number.max() + 1 + size, size))
+    return [scorer.prepare(ordered.slice(lo, hi - lo)) for lo, hi in zip(edges, edges[1:], strict=False) if hi > lo]
+
+
+def _hits(
+    scorer: Scorer, blocks: list[QueryBlock], rows: pa.Table, keys: list[str], k: int
+) -> Iterator[pa.RecordBatch]:
+    for start in range(0, rows.num_rows, ROW_TILE):
+        tile = rows.slice(start, ROW_TILE).combine_chunks()
         tile = tile.take(pc.sort_indices(tile, [(key, "ascending") for key in keys]))
-        scores = scorer.scores(block.data, tile)
-        q, r = best_positions(scores, k)
-        columns = [block.ids.take(pa.array(q))]
-        columns += [tile.column(key).combine_chunks().take(pa.array(r)) for key in keys]
-        columns.append(pa.array(scores[q, r], pa.float64()))
-        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
-        yield pa.RecordBatch.from_arrays(columns, ["query_id", *keys, "score"])
+        for block in blocks:
+            scores = scorer.scores(block.data, tile)
+            q, r, rounded = best_positions(scores, k)
+            keep = block.admit(q, rounded, k)
+            q, r = q[keep], r[keep]
+            if len(q) == 0:
+                continue
+            columns = [block.ids.take(pa.array(q))]
+            columns += [_flat(tile.column(key)).take(pa.array(r)) for key in keys]
+            columns.append(pa.array(scores[q, r], pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", *keys, "score"])
+
+
+def _by_cell(rows: pa.Table) -> Iterator[tuple[object, pa.Table]]:
+    """Rows of each cell; the order of rows within a cell does not matter."""
+    cells = _flat(rows.column("_cell").combine_chunks()).dictionary_encode()
+    number = cells.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.argsort(number, kind="stable")
+    ordered = rows.take(pa.array(order))
+    edges = np.searchsorted(number[order], np.arange(len(cells.dictionary) + 1))
+    for i, cell in enumerate(cells.dictionary.to_pylist()):
+        yield cell, ordered.slice(edges[i], edges[i + 1] - edges[i])
 
 
 def _schema(queries: DataFrame, corpus: DataFrame, keys: Sequence[str]) -> S.StructType:
@@ -94,20 +147,36 @@ def _schema(queries: DataFrame, corpus: DataFrame, keys: Sequence[str]) -> S.Str
     return S.StructType([*fields, S.StructField("score", S.DoubleType())])
 
 
-def scan_candidates(queries: DataFrame, corpus: DataFrame, scorer: Scorer, k: int, keys: Sequence[str]) -> DataFrame:
+def scan_candidates(
+    queries: DataFrame, corpus: DataFrame, scorer: Scorer, k: int, keys: Sequence[str], cell: str | None = None
+) -> DataFrame:
     """Local candidates with the measured, bounded query side broadcast to every task."""
     keys = list(keys)
-    table = queries.select("query_id", *scorer.query_columns).toArrow()
+    asked_cell = [F.col(cell).alias("_cell")] if cell else []
+    table = queries.select("query_id", *scorer.query_columns, *asked_cell).toArrow()
     shared = corpus.sparkSession.sparkContext.broadcast(table)
+    schema = _schema(queries, corpus, keys)
 
     def hits(batches):
-        block = scorer.prepare(shared.value)
-        if len(block) == 0:
-            return
+        blocks = query_blocks(scorer, shared.value)
         for batch in batches:
-            yield from _block_hits(scorer, block, pa.Table.from_batches([batch]), keys, k)
+            yield from _hits(scorer, blocks, pa.Table.from_batches([batch]), keys, k)
 
-    return corpus.select(*keys, *scorer.corpus_columns).mapInArrow(hits, _schema(queries, corpus, keys))
+    def hits_in_cells(batches):
+        asked = dict(_by_cell(shared.value))
+        blocks = {}
+        for batch in batches:
+            for name, rows in _by_cell(pa.Table.from_batches([batch])):
+                if name in asked:
+                    if name not in blocks:
+                        blocks[name] = query_blocks(scorer, asked[name])
+                    yield from _hits(scorer, blocks[name], rows, keys, k)
+
+    if cell is None:
+        return corpus.select(*keys, *scorer.corpus_columns).mapInArrow(hits, schema)
+    wanted = F.broadcast(queries.select(F.col(cell).alias("_cell")).distinct())
+    visible = corpus.select(*keys, *scorer.corpus_columns, F.col(cell).alias("_cell"))
+    return visible.join(wanted, "_cell", "left_semi").mapInArrow(hits_in_cells, schema)
 
 
 def grid_candidates(
@@ -148,9 +217,8 @@ def grid_candidates(
     names = [f.name for f in schema.fields]
 
     def hits(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows and right.num_rows:
-            block = scorer.prepare(left)
-            found = list(_block_hits(scorer, block, right, keys, k))
+        found = list(_hits(scorer, query_blocks(scorer, left), right, keys, k))
+        if found:
             return pa.Table.from_batches(found)
         types = [left.schema.field("query_id").type, *[right.schema.field(key).type for key in keys], pa.float64()]
         return pa.table([pa.array([], t) for t in types], names=names)
@@ -173,14 +241,12 @@ def top_k(
     it is ranked once.
     """
     keys = list(keys)
-    queries = cut_lineage(queries)
+    columns = ["query_id", *scorer.query_columns, *([cell] if cell else [])]
+    queries = cut_lineage(queries.select(*columns))
+    layout = scan_candidates if is_small(queries, SCAN_QUERY_ROWS, SCAN_QUERY_BYTES) else grid_candidates
+    found = layout(queries, corpus, scorer, k, keys, cell)
     if cell is not None:
-        found = grid_candidates(queries, corpus, scorer, k, keys, cell)
         found = found.groupBy("query_id", *keys).agg(F.max("score").alias("score"))
-    elif is_small(queries.select("query_id", *scorer.query_columns), SCAN_QUERY_ROWS, SCAN_QUERY_BYTES):
-        found = scan_candidates(queries, corpus, scorer, k, keys)
-    else:
-        found = grid_candidates(queries, corpus, scorer, k, keys)
     return ranked(found, k, keys)
 
 
@@ -196,9 +262,7 @@ class VectorScorer:
         self.metric = metric
 
     def _matrix(self, column) -> np.ndarray:
-        array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        if isinstance(array, pa.ChunkedArray):
-            array = pa.concat_arrays(array.chunks)
+        array = _flat(column)
         matrix = np.asarray(array.flatten(), dtype=np.float64).reshape(len(array), -1)
         if self.metric == "cosine":
             with np.errstate(invalid="ignore", divide="ignore"):
@@ -206,8 +270,7 @@ class VectorScorer:
         return matrix
 
     def prepare(self, queries: pa.Table) -> QueryBlock:
-        ids = pa.concat_arrays(queries.column("query_id").chunks) if queries.num_rows else pa.array([])
-        return QueryBlock(ids, self._matrix(queries.column(self.column)) if queries.num_rows else None)
+        return QueryBlock(_flat(queries.column("query_id")), self._matrix(queries.column(self.column)))
 
     def scores(self, state: np.ndarray, rows: pa.Table) -> np.ndarray:
         other = self._matrix(rows.column(self.column))

@@ -28,7 +28,13 @@ def _rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 def bm25_chunks(spark, sf_dir, k, size=32, overlap=8) -> DataFrame:
     index = tables.chunk_index(spark, sf_dir, size, overlap)
-    return lexical.bm25(tables.eval_queries(spark, sf_dir), index, k, KEYS)
+    weights = tables.chunk_weights(spark, sf_dir, size, overlap)
+    return lexical.bm25(tables.eval_queries(spark, sf_dir), index, k, KEYS, weights=weights)
+
+
+def bm25_documents(spark, sf_dir, queries, k) -> DataFrame:
+    index = tables.doc_index(spark, sf_dir)
+    return lexical.bm25(queries, index, k, ["doc_id"], weights=tables.doc_weights(spark, sf_dir))
 
 
 def vector_chunks(spark, sf_dir, k, size=32, overlap=8) -> DataFrame:
@@ -112,7 +118,7 @@ def _round_means(df: DataFrame) -> DataFrame:
 )
 def bm25_search(spark, sf_dir):
     """Keyword search over whole documents."""
-    hits = lexical.bm25(tables.eval_queries(spark, sf_dir), tables.doc_index(spark, sf_dir), 10, ["doc_id"])
+    hits = bm25_documents(spark, sf_dir, tables.eval_queries(spark, sf_dir), 10)
     return _rounded(hits, "score")
 
 
@@ -231,7 +237,7 @@ ORDER BY round(score, 9) DESC, query_id, doc_id LIMIT 10""",
 )
 def best_document(spark, sf_dir):
     """The ten strongest matches over all queries: one ordered limit, no window."""
-    hits = lexical.bm25(tables.eval_queries(spark, sf_dir), tables.doc_index(spark, sf_dir), 10, ["doc_id"])
+    hits = bm25_documents(spark, sf_dir, tables.eval_queries(spark, sf_dir), 10)
     best = ranking.single_query_top(hits, 10, ["query_id", "doc_id"])
     return _rounded(best.select("query_id", "doc_id", "score"), "score")
 
@@ -507,7 +513,7 @@ def grounding_check(spark, sf_dir):
         .select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query"))
     )
     index = tables.doc_index(spark, sf_dir)
-    hits = lexical.bm25(claims, index, 3, ["doc_id"])
+    hits = bm25_documents(spark, sf_dir, claims, 3)
     checked = rerank.grounded(claims, hits, index.select("doc_id", "terms"), ["doc_id"])
     return _rounded(checked, "best_cover")
 

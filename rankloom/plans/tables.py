@@ -11,6 +11,7 @@ from rankloom.functions import text as T
 from rankloom.operators.chunking import fixed_chunks
 from rankloom.operators.encoding import embed
 from rankloom.operators.evaluation import passage_labels
+from rankloom.operators.lexical import term_weights
 from rankloom.scale import spread, through_table
 from rankloom.session import apply_settings
 
@@ -77,6 +78,16 @@ def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, ("doc-index", sf_dir), build)
 
 
+def chunk_weights(spark: SparkSession, sf_dir: str, size: int = CHUNK[0], overlap: int = CHUNK[1]) -> DataFrame:
+    """Term statistics of the chunk index, stored beside it."""
+    key = ("chunk-weights", sf_dir, size, overlap)
+    return _once(spark, key, lambda: term_weights(chunk_index(spark, sf_dir, size, overlap)))
+
+
+def doc_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, ("doc-weights", sf_dir), lambda: term_weights(doc_index(spark, sf_dir)))
+
+
 def relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(query_id, doc_id): the documents that contain the passage."""
 

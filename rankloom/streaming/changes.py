@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.operators.encoding import not_yet_embedded
+from rankloom.operators.chunking import distinct_content
 from rankloom.operators.lifecycle import latest_changes
-from rankloom.scale import cut_lineage
+from rankloom.scale import broadcast_if_small, cut_lineage
 
 Build = Callable[[DataFrame], DataFrame]
 
@@ -53,13 +53,12 @@ def embed_new_chunks(build: Build, embed: Build, path: str) -> Callable[[DataFra
     """Handler that chunks a document batch and encodes only texts no earlier batch has stored."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        chunks = build(batch)
+        fresh = cut_lineage(distinct_content(build(batch)))
         if batch_id > 0:
-            stored = spark.read.parquet(path).where(F.col("batch_id") < batch_id).select("chunk_id")
-        else:
-            stored = chunks.select("chunk_id").where(F.lit(False))
-        fresh = not_yet_embedded(chunks, stored)
+            # the store is only probed for the batch's own ids, not shuffled, when they are few
+            stored = batch.sparkSession.read.parquet(path).where(F.col("batch_id") < batch_id).select("chunk_id")
+            known = stored.join(broadcast_if_small(fresh.select("chunk_id")), "chunk_id", "left_semi")
+            fresh = fresh.join(known, "chunk_id", "left_anti")
         embed(fresh).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return handle

@@ -35,13 +35,18 @@ def found(hits):
     return sorted((r.query_id, r.vec_id, r["rank"]) for r in hits.collect())
 
 
-def test_scan_and_grid_equal_brute_force_with_many_copies(spark):
+def test_scan_and_grid_equal_brute_force_with_many_copies(spark, monkeypatch):
     rows = unit(60)
     rows[20:45] = rows[7]  # one text copied into more than a third of the rows
     asked = unit(9, seed=5)
     queries, corpus = vector_frame(spark, asked, "query_id"), vector_frame(spark, rows)
     want = brute(asked, rows, 6)
     assert found(topk.top_k(queries, corpus, topk.VectorScorer(), 6, ["vec_id"])) == want
+    monkeypatch.setattr(topk, "QUERY_TILE", 2)
+    monkeypatch.setattr(topk, "ROW_TILE", 8)
+    tiled = topk.scan_candidates(queries, corpus.coalesce(1), topk.VectorScorer(), 6, ["vec_id"])
+    assert found(ranking.ranked(tiled, 6, ["vec_id"])) == want
+    assert tiled.count() < 9 * 60  # rows below the best so far stay in the task
     grid = topk.grid_candidates(queries, corpus, topk.VectorScorer(), 6, ["vec_id"], corpus_block=7, query_block=2)
     assert found(ranking.ranked(grid, 6, ["vec_id"])) == want
 
@@ -101,7 +106,7 @@ def test_bm25_equals_brute_force(spark, share, monkeypatch):
     texts = [" ".join(rng.sample(words, rng.randint(1, 40))) for _ in range(60)] + ["w1 w1 w1"] * 30
     asked = [" ".join(rng.sample(words, 8)) for _ in range(12)] + ["w1 w1", "unknownterm"]
     corpus = lexical.with_terms(text_frame(spark, texts, "doc_id", "text"))
-    weights = lexical.query_weights(text_frame(spark, asked, "query_id", "query"), corpus)
+    weights = lexical.query_weights(text_frame(spark, asked, "query_id", "query"), lexical.term_weights(corpus))
     want = brute_bm25(asked, texts)
     for layout in (
         topk.scan_candidates(weights, corpus, lexical.LexicalScorer(), 1000, ["doc_id"]),
