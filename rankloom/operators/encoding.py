@@ -9,6 +9,9 @@ from typing import Protocol
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
@@ -119,6 +122,23 @@ def embedding_records(rows: DataFrame, model_id: str, model_version: str, embedd
     )
 
 
+def tfidf_model(rows: DataFrame, dim: int = 1024):
+    """Hashed term counts weighted by inverse document frequency, scaled to unit length."""
+    return Pipeline(
+        stages=[
+            HashingTF(inputCol="terms", outputCol="_tf", numFeatures=dim),
+            IDF(inputCol="_tf", outputCol="_idf"),
+            Normalizer(inputCol="_idf", outputCol="_vector"),
+        ]
+    ).fit(rows)
+
+
+def embed_with_model(rows: DataFrame, model) -> DataFrame:
+    """Adds ``embedding`` from a fitted Spark ML model that ends in ``_vector``."""
+    vectors = model.transform(rows).withColumn("embedding", V.as_float32(vector_to_array("_vector")))
+    return vectors.select(*rows.columns, "embedding")
+
+
 def changed_vectors(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     """Two encoding runs compared: rows, largest component difference, rows that differ."""
     pairs = first.select(key, F.col("embedding").alias("_a")).join(

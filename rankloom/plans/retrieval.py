@@ -553,6 +553,23 @@ def model_cut_over(spark, sf_dir):
     return _rounded(gate, "old_value", "new_value")
 
 
+@query("encoder_comparison")
+def encoder_comparison(spark, sf_dir):
+    """Another encoder under the same evaluation: weighted term counts against the default."""
+    index = tables.doc_index(spark, sf_dir).select("doc_id", "terms", "embedding")
+    queries = lexical.with_terms(tables.eval_queries(spark, sf_dir), "query")
+    docs, model = index.drop("embedding"), encoding.tfidf_model(index.select("terms"), 256)
+    sides = {
+        "hashed": (encoding.embed(queries, text="query"), index),
+        "tfidf": (encoding.embed_with_model(queries, model), encoding.embed_with_model(docs, model)),
+    }
+    labels, scored = tables.relevance(spark, sf_dir), []
+    for name, (asked, corpus) in sides.items():
+        hits = topk.top_k(asked, corpus, topk.VectorScorer(), 10, ["doc_id"])
+        scored.append(evaluation.query_scores(queries, hits, labels).withColumn("encoder", F.lit(name)))
+    return _round_means(evaluation.macro_means(union_all(scored), per=["encoder"]))
+
+
 @query(
     "sampled_eval_queries",
     """SELECT * FROM (SELECT event_id, date_trunc('month', ts) AS month,

@@ -91,8 +91,8 @@ def shortened_vectors(spark, sf_dir):
     "distance_measures",
     """WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 h AS (SELECT label, arg_min(e, vec_id) AS h FROM v GROUP BY label)
-SELECT vec_id, label, round(list_dot_product(e, h), 6) AS inner_product, round(-list_dot_product(e, h), 6) AS negative_inner_product,
-  round(list_cosine_similarity(e, h), 6) AS cosine, round(1 - list_cosine_similarity(e, h), 6) AS cosine_distance,
+SELECT vec_id, label, round(list_dot_product(e, h), 6) + 0.0 AS inner_product, round(-list_dot_product(e, h), 6) + 0.0 AS negative_inner_product,
+  round(list_cosine_similarity(e, h), 6) + 0.0 AS cosine, round(1 - list_cosine_similarity(e, h), 6) AS cosine_distance,
   round(list_distance(e, h), 6) AS l2 FROM v JOIN h USING (label)""",
 )
 def distance_measures(spark, sf_dir):
