@@ -31,8 +31,8 @@ from rankloom.scale import broadcast_if_small, cut_lineage, is_small
 
 QUERY_TILE = 400
 ROW_TILE = 10_000
-CORPUS_BLOCK = 50_000
-QUERY_BLOCK = 4_000
+CORPUS_BLOCK = 100_000
+QUERY_BLOCK = 20_000
 SCAN_QUERY_ROWS = 500_000
 SCAN_QUERY_BYTES = 128 * 1024 * 1024
 

@@ -27,9 +27,14 @@ def closed_for(kind: str) -> str:
     return f"(SELECT max(ts) - INTERVAL 2 HOURS FROM events WHERE event_type = '{kind}')"
 
 
+def _stream(spark, sf_dir, name: str) -> DataFrame:
+    # a stream source takes a folder or a pattern; the braces make the path one, be it a file or a folder
+    return run.read_stream(spark, f"{sf_dir}/{{{name}}}.parquet")
+
+
 def _event_stream(spark, sf_dir) -> DataFrame:
     apply_settings(spark)
-    events = run.read_stream(spark, sf_dir, "events.parquet")
+    events = _stream(spark, sf_dir, "events")
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -206,7 +211,7 @@ def _build(docs: DataFrame) -> DataFrame:
 
 def _doc_stream(spark, sf_dir) -> DataFrame:
     apply_settings(spark)
-    docs = run.read_stream(spark, sf_dir, "documents.parquet")
+    docs = _stream(spark, sf_dir, "documents")
     return docs.select("doc_id", F.col("source").alias("topic"), "lang", "text")
 
 

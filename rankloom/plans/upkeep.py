@@ -65,15 +65,13 @@ def chunk_jsonl_scan(spark, sf_dir):
 def eval_query_jsonl_scan(spark, sf_dir):
     """Evaluation queries as JSON Lines; off-topic ones have no list at all."""
     path = scratch_path(spark, "queries-jsonl")
-    lists = tables.relevance(spark, sf_dir).groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.col("doc_id").cast("string"))).alias("relevant_doc_ids")
-    )
-    rows = tables.eval_queries(spark, sf_dir).join(lists, "query_id", "left")
-    jsonl.write_jsonl(rows.withColumn("query_id", F.col("query_id").cast("string")), path)
-    return jsonl.read_eval_queries(spark, path).select(
-        "query_id",
-        T.content_key(F.col("query")).alias("content_id"),
-        F.size("relevant_doc_ids").cast("bigint").alias("n_relevant"),
+    # one line per relevant document, so that no list has to be gathered
+    rows = tables.eval_queries(spark, sf_dir).join(tables.relevance(spark, sf_dir), "query_id", "left")
+    one = F.when(F.col("doc_id").isNotNull(), F.array(F.col("doc_id").cast("string")))
+    jsonl.write_jsonl(rows.select(F.col("query_id").cast("string").alias("query_id"), "query", one.alias("relevant_doc_ids")), path)
+    read = jsonl.read_eval_queries(spark, path)
+    return read.groupBy("query_id", T.content_key(F.col("query")).alias("content_id")).agg(
+        F.sum(F.size("relevant_doc_ids")).alias("n_relevant")
     )
 
 

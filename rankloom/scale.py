@@ -53,10 +53,14 @@ def through_table(df: DataFrame, label: str) -> DataFrame:
 
 # ------------------------------------------------------------------- broadcasts
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df``: true only if its rows and bytes are within the bounds."""
+    """Measure ``df``: true only if its rows and bytes are within the bounds.
+
+    Rows are counted first, so the bytes of a large table are never looked at.
+    """
+    if df.count() > max_rows:
+        return False
     size = F.length(F.to_json(F.struct("*")))
-    rows, volume = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return rows <= max_rows and volume <= max_bytes
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

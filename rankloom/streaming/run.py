@@ -12,15 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from rankloom.scale import scratch_path
 
 
-def read_stream(spark: SparkSession, folder: str, glob: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream; the schema is taken from the files there."""
-    path = f"{folder}/{glob}" if glob else folder
+def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files below ``path`` as a stream; the schema is taken from the files there."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def drain_to_table(stream: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None, partition_by=()) -> str:

@@ -37,7 +37,7 @@ def test_late_rows_are_dropped_and_reprocessed(spark, tmp_path):
         [(6, 1, at(72), 1.0)],
     ]
     write_batches(spark, str(tmp_path), batches, EVENTS)
-    stream = run.read_stream(spark, str(tmp_path), "b*.parquet", files_per_trigger=1)
+    stream = run.read_stream(spark, f"{tmp_path}/b*.parquet", files_per_trigger=1)
     path = run.drain_to_table(windows.tumbling(windows.timely(stream), ["user_id"], "1 hour"), "late")
     counted = {r.started.hour: r.n for r in spark.read.parquet(path).where(F.col("started") < "2024-01-02").collect()}
     assert counted == {0: 1, 3: 1, 5: 2}
@@ -56,7 +56,7 @@ def test_late_rows_are_dropped_and_reprocessed(spark, tmp_path):
 def test_repeated_event_ids_count_once(spark, tmp_path):
     batches = [[(1, 1, at(0), 1.0), (1, 1, at(0), 1.0)], [(1, 1, at(0.1), 1.0), (2, 1, at(0.2), 1.0)]]
     write_batches(spark, str(tmp_path), batches, EVENTS)
-    stream = run.read_stream(spark, str(tmp_path), "b*.parquet", files_per_trigger=1)
+    stream = run.read_stream(spark, f"{tmp_path}/b*.parquet", files_per_trigger=1)
     path = run.drain_to_table(windows.once(windows.timely(stream)), "once")
     assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == [1, 2]
 
@@ -64,7 +64,7 @@ def test_repeated_event_ids_count_once(spark, tmp_path):
 def test_running_totals_over_batches(spark, tmp_path):
     batches = [[(i, i % 2, at(0), 1.5) for i in range(20)], [(i, 1, at(1), 2.0) for i in range(20, 30)]]
     write_batches(spark, str(tmp_path), batches, EVENTS)
-    stream = run.read_stream(spark, str(tmp_path), "b*.parquet", files_per_trigger=1)
+    stream = run.read_stream(spark, f"{tmp_path}/b*.parquet", files_per_trigger=1)
     out = str(tmp_path / "out")
 
     def keep(batch, batch_id):
@@ -89,7 +89,7 @@ def test_change_log_over_batches(spark, tmp_path, rows):
         [(2, "back again now", "insert", 3)],
     ]
     write_batches(spark, str(tmp_path), batches, CHANGES)
-    stream = run.read_stream(spark, str(tmp_path), "b*.parquet", files_per_trigger=1)
+    stream = run.read_stream(spark, f"{tmp_path}/b*.parquet", files_per_trigger=1)
     path = str(tmp_path / "log")
     run.drain_batches(stream, changes.append_changes(build, path), "log")
     want = [(1, 0, "short"), (2, 0, "back again"), (2, 1, "now"), (3, 0, "z")]
@@ -104,7 +104,7 @@ def test_change_log_over_batches(spark, tmp_path, rows):
 def test_ingest_encodes_each_text_once(spark, tmp_path):
     batches = [[(1, "same", "insert", 1), (2, "same", "insert", 1)], [(3, "same", "insert", 1), (4, "other", "insert", 1)]]
     write_batches(spark, str(tmp_path), batches, CHANGES)
-    stream = run.read_stream(spark, str(tmp_path), "b*.parquet", files_per_trigger=1).select("doc_id", "text")
+    stream = run.read_stream(spark, f"{tmp_path}/b*.parquet", files_per_trigger=1).select("doc_id", "text")
     path = str(tmp_path / "store")
     run.drain_batches(stream, changes.embed_new_chunks(build, encoding.embed, path), "ingest")
     assert sorted(r.text for r in spark.read.parquet(path).collect()) == ["other", "same"]
@@ -116,6 +116,6 @@ def test_close_pairs_from_two_streams(spark, tmp_path):
     for name, batch in (("a", clicks), ("b", bought)):
         (tmp_path / name).mkdir()
         write_batches(spark, str(tmp_path / name), batch, EVENTS)
-    a, b = (windows.timely(run.read_stream(spark, str(tmp_path / n), "b*.parquet")) for n in ("a", "b"))
+    a, b = (windows.timely(run.read_stream(spark, f"{tmp_path / n}/b*.parquet")) for n in ("a", "b"))
     path = run.drain_to_table(windows.close_pairs(a, b, "user_id", 300), "pairs")
     assert [r.user_id for r in spark.read.parquet(path).collect()] == [7]
