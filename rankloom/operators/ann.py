@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from rankloom.functions import vectors as V
 from rankloom.operators.ranking import ranked
 from rankloom.operators.topk import QueryBlock, VectorScorer, top_k
-from rankloom.scale import broadcast_if_small, cut_lineage, through_table
+from rankloom.scale import broadcast_if_small, through_table
 
 
 def _as_ml(df: DataFrame, column: str = "embedding") -> DataFrame:
@@ -128,7 +128,7 @@ def code_search(
     keys = list(keys)
     books = np.stack([np.stack(m.clusterCenters()) for m in models])
     rough = top_k(queries, coded.select(*keys, "codes"), CodeScorer(books), n_candidates, keys)
-    candidates = cut_lineage(rough.select("query_id", *keys))
+    candidates = rough.select("query_id", *keys)
     exact = coded.select(*keys, F.col("embedding").alias("_row")).join(broadcast_if_small(candidates), keys)
     asked = queries.select("query_id", "embedding")
     scored = exact.join(asked, "query_id").withColumn("score", V.dot(F.col("embedding"), F.col("_row")))

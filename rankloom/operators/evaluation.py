@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
-from rankloom.scale import broadcast_if_small, cut_lineage
+from rankloom.scale import broadcast_if_small, is_small
 
 CUTS = (1, 3, 10)
 
@@ -157,8 +157,24 @@ def passage_labels(queries: DataFrame, docs: DataFrame, query: str = "query", te
 
     Text can only be contained where its inner tokens occur, so each query is
     joined on its rarest inner token and then verified; no query meets every
-    document. Queries need three tokens or more to have an inner one.
+    document. Queries of one or two tokens have no inner one: they travel as one
+    list, measured to be short, and each document is tested against the list.
     """
+    found = _labels_by_token(queries, docs, query, text)
+    short = queries.where(F.size(T.ws_tokens(F.col(query))) < 3).select("query_id", query)
+    n_short = short.count()
+    if n_short == 0:
+        return found
+    if not is_small(short, 10_000, 1_000_000):
+        raise ValueError(f"{n_short} passages have fewer than three tokens: too many to test one by one")
+    listed = short.agg(F.collect_list(F.struct("query_id", query))).scalar()
+    beside = docs.select("doc_id", F.col(text).alias("_text"), listed.alias("_short"))
+    held = F.filter("_short", lambda s: F.contains(F.col("_text"), s[query]))
+    brief = beside.select("doc_id", F.explode(held).alias("_q")).select("_q.query_id", "doc_id")
+    return found.unionByName(brief)
+
+
+def _labels_by_token(queries: DataFrame, docs: DataFrame, query: str, text: str) -> DataFrame:
     inner = F.array_distinct(F.slice("_t", 2, F.greatest(F.size("_t") - 2, F.lit(0))))
     asked = queries.select("query_id", query, T.ws_tokens(F.col(query)).alias("_t")).select(
         "query_id", query, F.explode(inner).alias("_token")
@@ -167,13 +183,13 @@ def passage_labels(queries: DataFrame, docs: DataFrame, query: str = "query", te
     held = docs.select("doc_id", F.explode(F.array_distinct(T.ws_tokens(F.col(text)))).alias("_token"))
     held = held.join(tokens, "_token", "left_semi")
     frequency = held.groupBy("_token").agg(F.count(F.lit(1)).alias("_df"))
-    rarest = cut_lineage(
+    rarest = broadcast_if_small(
         asked.join(frequency, "_token")
         .groupBy("query_id")
         .agg(F.min(F.struct("_df", "_token"))["_token"].alias("_token"))
         .join(queries.select("query_id", query), "query_id")
     )
     # candidate pairs carry ids only; the text joins them once, by document
-    candidates = cut_lineage(held.join(broadcast_if_small(rarest), "_token").drop("_token"))
+    candidates = held.join(rarest, "_token").drop("_token")
     pairs = docs.select("doc_id", text).join(broadcast_if_small(candidates), "doc_id")
     return pairs.where(F.contains(F.col(text), F.col(query))).select("query_id", "doc_id")

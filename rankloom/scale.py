@@ -64,7 +64,11 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast after measuring; otherwise leave the join to Spark and AQE."""
+    """Hint a broadcast after measuring; otherwise leave the join to Spark and AQE.
+
+    ``df`` is computed once: what is measured is what is joined.
+    """
+    df = cut_lineage(df)
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
