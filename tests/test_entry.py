@@ -1,11 +1,13 @@
 import re
 
 import __spark_entry__ as entry
+from rankloom.plans import catalogue
 
 
 def test_queries_and_sql_belong_together():
-    queries, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(queries)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    queries, sql = catalogue.QUERIES, catalogue.SQL
+    assert set(queries) <= set(entry.queries()) and set(sql) <= set(queries)
     assert len(queries) >= 100
     assert set(queries) - set(sql) == {
         "cell_search", "projection_search", "product_code_search", "encoder_comparison", "stage_latency_p99_sketch",
@@ -13,6 +15,15 @@ def test_queries_and_sql_belong_together():
     assert not any(re.fullmatch(r"op\d+_.*|pipeline.*", name) for name in queries)
 
 
+def test_entry_works_without_the_training_data_part(monkeypatch):
+    def gone(name):
+        raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+
+    monkeypatch.setattr(entry.importlib, "import_module", gone)
+    assert set(entry.queries()) == set(catalogue.QUERIES)
+    assert set(entry.oracle_sql()) == set(catalogue.SQL)
+
+
 def test_flagship_runs(spark):
     rows = {r.ranker: r for r in entry.entry(spark).collect()}
     assert set(rows) == {"vec", "bm25", "hybrid"}
