@@ -30,7 +30,7 @@ SPACE = "▁"
 #: How much worse than the worst piece an unknown character scores.
 UNKNOWN_PENALTY = 10.0
 #: Stretches between common boundaries that a worker remembers, and the longest one it remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 REMEMBERED_CHARS = 64
 
 
@@ -143,6 +143,16 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+_PIECES: dict[str, Pieces] = {}
+
+
+def pieces_of(path: str) -> Pieces:
+    """The worker's own vocabulary: what it has encoded in one task helps in the next."""
+    if path not in _PIECES:
+        _PIECES[path] = Pieces(path)
+    return _PIECES[path]
+
+
 #: Marks and what follows up to the next mark.
 _STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
@@ -157,7 +167,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             texts = texts_of(batch.column(1))
             columns = [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(map(pieces.encode, texts), pa.binary())]
@@ -173,7 +183,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     prepare(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             texts = [None if ids is None else pieces.decode(np.frombuffer(ids, "<u4")) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
@@ -186,7 +196,7 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, names = Pieces(model), ["doc_id", "n_chars", "n_ids", "ids_crc32", "round_trip"]
+        pieces, names = pieces_of(model), ["doc_id", "n_chars", "n_ids", "ids_crc32", "round_trip"]
         for batch in batches:
             texts = texts_of(batch.column(1))
             ids = [pieces.encode(t) for t in texts]

@@ -26,7 +26,7 @@ TRAIN_TOXIC, TRAIN_OTHER, TRAIN_CHARS = 2000, 6000, 20_000
 FOLDS = 5
 FEATURE_BITS = 20
 PREFIXES = (4, 5)
-LEAST_Z, LEAST_DOCUMENTS, MOST_FEATURES = 4.0, 4, 4096
+LEAST_Z, LEAST_DOCUMENTS, MOST_FEATURES = 4.0, 4, 2048
 THRESHOLD = 0.5
 #: In this order. ``severe``: toxic, with more different telling words than the median toxic document.
 CATEGORIES = ("low_quality", "toxic", "severe")
@@ -87,12 +87,12 @@ class Link:
         target, extra, n = y[use], earlier[use], int(use.sum())
         w, v, b = np.zeros(len(chosen)), np.zeros(extra.shape[1]), self.intercept
         sums = [np.full(len(chosen), 1e-8), np.full(len(v), 1e-8), 1e-8]
-        for _ in range(600):  # full-batch steps, scaled by the gradients so far
+        for _ in range(500):  # full-batch steps, scaled by the gradients so far
             p = _sigmoid(np.bincount(row, w[column], n) + extra @ v + b)
             error = (p - target) / n
             steps = [np.bincount(column, error[row], len(w)) + 1e-5 * w, error @ extra + 1e-5 * v, error.sum()]
             sums = [s + g * g for s, g in zip(sums, steps)]
-            w, v, b = (x - 0.7 * g / np.sqrt(s) for x, g, s in zip((w, v, b), steps, sums))
+            w, v, b = (x - 1.0 * g / np.sqrt(s) for x, g, s in zip((w, v, b), steps, sums))
         self.weights[chosen], self.earlier, self.intercept = w, v, float(b)
 
     def predict(self, doc: np.ndarray, ids: np.ndarray, n: int, earlier: np.ndarray) -> np.ndarray:

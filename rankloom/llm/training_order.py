@@ -16,12 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import mixed, prepare, stored, texts_of
-from rankloom.llm.packing import END, Encoder, bases
+from rankloom.llm.packing import END, bases, encoder_of
 from rankloom.scale import scratch_path
 
 LENGTH = 1024
@@ -66,13 +67,14 @@ def numbers(at: np.ndarray, size: int, key: int) -> np.ndarray:
 def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END, pad: int = PAD) -> DataFrame:
     """(part, idx, one, doc_id, doc_start, n_tokens, ids): each task's ids cut at ``length``.
 
-    ids are unsigned 16-bit, padded to ``length`` (only a task's last sequence is). doc_id and
+    ids are unsigned 16-bit, padded to ``length`` (only a task's last sequence is), and travel compressed. doc_id and
     doc_start tell what its first token is. The vocabulary must have at most 65,536 ids.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, idx = Encoder(tokenizer, "<u2"), TaskContext.get().partitionId(), 0
+        encoder, part, idx = encoder_of(tokenizer, "<u2"), TaskContext.get().partitionId(), 0
         last, size, padding = np.array([end], "<u2").tobytes(), 2 * length, np.array([pad], "<u2").tobytes()
+        packed = zstandard.ZstdCompressor(level=1).compress
         held, first = b"", (None, 0)  # ids not yet in a sequence, and where their first token stands
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
@@ -83,23 +85,23 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int =
 
         for batch in batches:
             found = []
-            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                ids = encoder.encode(text) + last
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts_of(batch.column(1)))):
+                ids += last
                 if not held:
                     first = (doc, 0)
                 at = size - len(held)  # where the next sequence begins in this document
                 if len(ids) < at:
                     held += ids
                     continue
-                found.append((part, idx, 1, *first, length, held + ids[:at]))
+                found.append((part, idx, 1, *first, length, packed(held + ids[:at])))
                 idx += 1
                 while at + size <= len(ids):
-                    found.append((part, idx, 1, doc, at // 2, length, ids[at : at + size]))
+                    found.append((part, idx, 1, doc, at // 2, length, packed(ids[at : at + size])))
                     idx, at = idx + 1, at + size
                 held, first = ids[at:], (doc, at // 2)
             yield rows(found)
         if held:
-            yield rows([(part, idx, 1, *first, len(held) // 2, held + padding * (length - len(held) // 2))])
+            yield rows([(part, idx, 1, *first, len(held) // 2, packed(held + padding * (length - len(held) // 2)))])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         cut, "part int, idx long, one long, doc_id long, doc_start long, n_tokens int, ids binary"
@@ -130,13 +132,29 @@ def materialise(
         order, "sequence long, doc_id long, doc_start long, n_tokens int, slot long"
     )
     shards = max(1, -(-total // shard_rows))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each shard's records as one value; rows come in the order of shards and slots."""
+        unpacked, shard, records = zstandard.ZstdDecompressor().decompress, None, []
+        for batch in batches:
+            for of, ids in zip(*(c.to_pylist() for c in batch.columns)):
+                if of != shard:
+                    if records:
+                        yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([b"\n".join(records)])], ["shard", "value"])
+                    shard, records = of, []
+                records.append(unpacked(ids))
+        if records:
+            yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([b"\n".join(records)])], ["shard", "value"])
+
     dealt = (
         placed.select("sequence", "ids")
         .mapInArrow(order, "sequence long, ids binary, slot long")
-        .select((F.col("slot") / shard_rows).cast("long").alias("shard"), "slot", F.col("ids").cast("string").alias("value"))
+        .select((F.col("slot") / shard_rows).cast("long").alias("shard"), "slot", "ids")
         .repartition(min(shards, 20_000), "shard")
         .sortWithinPartitions("shard", "slot")
-        .select("shard", "value")
+        .select("shard", "ids")
+        .mapInArrow(joined, "shard long, value binary")
+        .select("shard", F.col("value").cast("string").alias("value"))
     )
     dealt.write.partitionBy("shard").text(path)
     return path, described, total
