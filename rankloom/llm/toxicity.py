@@ -4,8 +4,8 @@ Categories are predicted one after the other; a later model also gets the earlie
 categories' probabilities. In training these come from models that didn't see the
 document (out-of-fold), so a later link doesn't learn to trust an overfitted one.
 
-Each link chooses its features (hashed words and their first bytes) by the log-odds
-of their document frequencies and fits a logistic regression on them, so words that
+Each link chooses its features (hashed words and their first bytes) by the likelihood
+ratio of their document frequencies and fits a logistic regression on them, so words that
 tell nothing carry no weight. A text longer than the training texts is judged in
 parts of that length, and the highest probability of a part is the text's.
 """
@@ -26,7 +26,7 @@ TRAIN_TOXIC, TRAIN_OTHER, TRAIN_CHARS = 2000, 6000, 20_000
 FOLDS = 5
 FEATURE_BITS = 20
 PREFIXES = (4, 5)
-LEAST_Z, LEAST_DOCUMENTS, MOST_FEATURES = 4.0, 4, 2048
+LEAST_GAIN, LEAST_DOCUMENTS, MOST_FEATURES = 2.0, 3, 2048
 THRESHOLD = 0.5
 #: In this order. ``severe``: toxic, with more different telling words than the median toxic document.
 CATEGORIES = ("low_quality", "toxic", "severe")
@@ -70,13 +70,17 @@ class Link:
         yes = np.bincount(ids[y[doc] > 0], minlength=1 << FEATURE_BITS)
         no = np.bincount(ids[y[doc] == 0], minlength=1 << FEATURE_BITS)
         n1, n0 = max((y[use] > 0).sum(), 1), max((y[use] == 0).sum(), 1)
-        odds = np.log((yes + 0.5) / (n1 - yes + 0.5)) - np.log((no + 0.5) / (n0 - no + 0.5))
-        z = odds / np.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))
-        z[yes < LEAST_DOCUMENTS] = 0
-        chosen = np.flatnonzero(z >= LEAST_Z)
-        chosen = chosen[np.argsort(-z[chosen], kind="stable")][:MOST_FEATURES]
+        rate = n1 / (n1 + n0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = 2 * (np.where(yes, yes * np.log(yes / ((yes + no) * rate)), 0) + np.where(no, no * np.log(no / ((yes + no) * (1 - rate))), 0))
+        gain[(yes < LEAST_DOCUMENTS) | (yes <= (yes + no) * rate)] = 0
+        # the more features are tried, the more must one of them tell
+        chosen = np.flatnonzero(gain >= 2 * np.log(max((yes >= LEAST_DOCUMENTS).sum(), 1)) + LEAST_GAIN)
+        chosen = chosen[np.argsort(-gain[chosen], kind="stable")][:MOST_FEATURES]
         self.weights = np.zeros(1 << FEATURE_BITS, np.float32)
         self.earlier, self.intercept = np.zeros(earlier.shape[1]), float(np.log(n1 / n0))
+        if not (y[use] > 0).any():  # never seen: never predicted
+            self.intercept = -30.0
         if not len(chosen) or not (y[use] > 0).any() or not (y[use] == 0).any():
             return
         place = np.full(1 << FEATURE_BITS, -1)
