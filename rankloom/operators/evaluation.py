@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
-from rankloom.scale import broadcast_if_small, is_small
+from rankloom.scale import broadcast_if_small
 
 CUTS = (1, 3, 10)
 
@@ -157,21 +157,36 @@ def passage_labels(queries: DataFrame, docs: DataFrame, query: str = "query", te
 
     Text can only be contained where its inner tokens occur, so each query is
     joined on its rarest inner token and then verified; no query meets every
-    document. Queries of one or two tokens have no inner one: they travel as one
-    list, measured to be short, and each document is tested against the list.
+    document. Queries of one or two tokens have no inner one: their longest token
+    is part of a document's token, so it is looked up in the distinct vocabulary by
+    its first characters, and the tokens found lead to documents. Empty queries
+    have no labels.
     """
     found = _labels_by_token(queries, docs, query, text)
-    short = queries.where(F.size(T.ws_tokens(F.col(query))) < 3).select("query_id", query)
-    n_short = short.count()
-    if n_short == 0:
+    size = F.size(T.ws_tokens(F.col(query)))
+    short = queries.where(size.between(1, 2)).select("query_id", query)
+    if short.isEmpty():
         return found
-    if not is_small(short, 10_000, 1_000_000):
-        raise ValueError(f"{n_short} passages have fewer than three tokens: too many to test one by one")
-    listed = short.agg(F.collect_list(F.struct("query_id", query))).scalar()
-    beside = docs.select("doc_id", F.col(text).alias("_text"), listed.alias("_short"))
-    held = F.filter("_short", lambda s: F.contains(F.col("_text"), s[query]))
-    brief = beside.select("doc_id", F.explode(held).alias("_q")).select("_q.query_id", "doc_id")
-    return found.unionByName(brief)
+    return found.unionByName(_labels_by_part(short, docs, query, text))
+
+
+def _labels_by_part(queries: DataFrame, docs: DataFrame, query: str, text: str) -> DataFrame:
+    tokens = T.ws_tokens(F.col(query))
+    longest = F.array_max(F.transform(tokens, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
+    asked = queries.select("query_id", query, longest.alias("_part")).withColumn("_head", F.substring("_part", 1, 3))
+    held = docs.select("doc_id", F.explode(F.array_distinct(T.ws_tokens(F.col(text)))).alias("_token"))
+
+    def heads(size: int) -> Column:
+        at = F.when(F.length("_token") >= size, F.sequence(F.lit(1), F.length("_token") - size + 1))
+        return F.coalesce(F.transform(at, lambda i: F.substr(F.col("_token"), i, F.lit(size))), F.array().cast("array<string>"))
+
+    words = held.select("_token").distinct()
+    words = words.select("_token", F.explode(F.array_distinct(F.concat(*[heads(n) for n in (1, 2, 3)]))).alias("_head"))
+    parts = asked.select("_head", "_part").distinct()
+    known = words.join(broadcast_if_small(parts), "_head").where(F.contains(F.col("_token"), F.col("_part"))).select("_token", "_part")
+    candidates = held.join(known, "_token").select("doc_id", "_part").distinct()
+    pairs = candidates.join(asked.select("query_id", query, "_part"), "_part").select("doc_id", "query_id", query)
+    return docs.select("doc_id", text).join(pairs, "doc_id").where(F.contains(F.col(text), F.col(query))).select("query_id", "doc_id")
 
 
 def _labels_by_token(queries: DataFrame, docs: DataFrame, query: str, text: str) -> DataFrame:

@@ -496,7 +496,7 @@ def rerank_search(spark, sf_dir):
     "grounding_check",
     D.with_(
         "claims AS (SELECT conv_id, turn AS claim, text AS query FROM conversations WHERE role = 'assistant')",
-        "queries AS (SELECT conv_id * 1000 + claim AS query_id, query FROM claims)",
+        "queries AS (SELECT concat_ws('-', conv_id, claim) AS query_id, query FROM claims)",
         D.bm25_rank("documents", "doc_id", 3, "r"),
         f"""cover AS (SELECT r.query_id, max(len(list_intersect(list_distinct({D.terms('q.query')}), {D.terms('d.text')}))
                       / len(list_distinct({D.terms('q.query')}))) AS best
@@ -510,7 +510,7 @@ def grounding_check(spark, sf_dir):
     claims = (
         tables.table(spark, sf_dir, "conversations")
         .where(F.col("role") == "assistant")
-        .select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query"))
+        .select(F.concat_ws("-", "conv_id", "turn").alias("query_id"), F.col("text").alias("query"))
     )
     index = tables.doc_index(spark, sf_dir)
     hits = bm25_documents(spark, sf_dir, claims, 3)

@@ -225,7 +225,7 @@ def stream_ingest(spark, sf_dir):
     path = scratch_path(spark, "ingested")
     handle = changes.embed_new_chunks(_build, encoding.embed, path)
     run.drain_batches(_doc_stream(spark, sf_dir).select("doc_id", "topic", "text"), handle, "ingest")
-    stored = store.read_table(spark, path)
+    stored = changes.counted_chunks(store.read_table(spark, path))
     return stored.select("chunk_id", "copies", F.size("embedding").cast("bigint").alias("dim"))
 
 

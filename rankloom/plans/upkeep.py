@@ -368,16 +368,17 @@ def upsert_chunks(spark, sf_dir):
     return _big(store.read_table(spark, path).select("doc_id", "chunk_index", "chunk_id"), "chunk_index")
 
 
-CHANGED_DOCS = """SELECT doc_id, source, CASE WHEN lang = 'fr' THEN left(text, 60) WHEN lang = 'es' THEN text || ' revised' ELSE text END AS text
+CHANGED_DOCS = """SELECT doc_id, source, CASE WHEN lang = 'es' THEN text || ' revised' ELSE text END AS text
 FROM documents WHERE lang <> 'de'"""
 
 
 def change_feed(docs: DataFrame) -> DataFrame:
-    """Every document first inserted as it is; then German ones deleted, French ones cut, Spanish ones extended."""
+    """Every document first inserted, French ones twice as long; then German ones deleted, French ones shrunk, Spanish ones extended."""
     lang = F.col("lang")
     op = F.when(lang == "de", "delete").when(lang.isin("fr", "es"), "update").otherwise("insert")
-    text = F.when(lang == "fr", F.substring("text", 1, 60)).when(lang == "es", F.concat("text", F.lit(" revised"))).otherwise(F.col("text"))
-    first = docs.select("doc_id", "topic", "text", F.lit("insert").alias("op"), F.lit(1).cast("bigint").alias("seq"))
+    text = F.when(lang == "es", F.concat("text", F.lit(" revised"))).otherwise(F.col("text"))
+    before = F.when(lang == "fr", F.concat_ws(" ", "text", "text")).otherwise(F.col("text"))
+    first = docs.select("doc_id", "topic", before.alias("text"), F.lit("insert").alias("op"), F.lit(1).cast("bigint").alias("seq"))
     return first.unionByName(docs.select("doc_id", "topic", text.alias("text"), op.alias("op"), F.lit(2).cast("bigint").alias("seq")))
 
 

@@ -22,13 +22,15 @@ HOT_ROWS = 5_000_000
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where the session names none (tests).
+    A machine-local folder is used only where there is one machine: a local master.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and context.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rankloom-"))
     return context.getCheckpointDir()
 

@@ -50,15 +50,30 @@ def compact(spark: SparkSession, path: str, new_path: str) -> None:
 
 
 def embed_new_chunks(build: Build, embed: Build, path: str) -> Callable[[DataFrame, int], None]:
-    """Handler that chunks a document batch and encodes only texts no earlier batch has stored."""
+    """Handler that chunks a document batch and encodes only texts no earlier batch has stored.
+
+    Every text of the batch gets a row with its number of copies; a text that is stored
+    already has no vector in it. ``counted_chunks`` puts the rows together.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         fresh = cut_lineage(distinct_content(build(batch)))
+        again = None
         if batch_id > 0:
             # the store is only probed for the batch's own ids, not shuffled, when they are few
             stored = batch.sparkSession.read.parquet(path).where(F.col("batch_id") < batch_id).select("chunk_id")
-            known = stored.join(broadcast_if_small(fresh.select("chunk_id")), "chunk_id", "left_semi")
+            known = stored.join(broadcast_if_small(fresh.select("chunk_id")), "chunk_id", "left_semi").distinct()
+            again = fresh.join(known, "chunk_id", "left_semi")
             fresh = fresh.join(known, "chunk_id", "left_anti")
-        embed(fresh).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = embed(fresh)
+        if again is not None:
+            rows = rows.unionByName(again, allowMissingColumns=True)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return handle
+
+
+def counted_chunks(rows: DataFrame) -> DataFrame:
+    """(chunk_id, copies, embedding) of all batches: the same however the documents were batched."""
+    vector = F.first("embedding", ignorenulls=True).alias("embedding")
+    return rows.groupBy("chunk_id").agg(F.sum("copies").alias("copies"), vector)

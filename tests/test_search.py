@@ -295,3 +295,15 @@ def test_separation_equals_pairs(spark):
     row = ann.cluster_separation(frame).first()
     assert row.intra == pytest.approx(np.mean(sims[True]), abs=1e-6)
     assert row.inter == pytest.approx(np.mean(sims[False]), abs=1e-6)
+
+
+def test_short_passages_are_found_whatever_their_number(spark):
+    texts = ["ab cde f", "xcdey", "", "f ab", "cde", "a b", "zab cdx"]
+    asked = ["cde", "ab cd", "f", "b", "", "  ", "qq", "f ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, query string")
+    want = sorted((q, d) for q, a in enumerate(asked) for d, t in enumerate(texts) if a.strip() and a in t)
+    assert sorted(tuple(r) for r in evaluation.passage_labels(queries, docs).collect()) == want
+    many = spark.range(10_001).select(F.col("id").alias("query_id"), F.concat(F.lit("w"), "id").alias("query"))
+    some = spark.createDataFrame([(1, "w10000 v")], "doc_id long, text string")
+    assert evaluation.passage_labels(many, some).count() == 5  # w1, w10, w100, w1000, w10000

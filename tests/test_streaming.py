@@ -107,7 +107,14 @@ def test_ingest_encodes_each_text_once(spark, tmp_path):
     stream = run.read_stream(spark, f"{tmp_path}/b*.parquet", files_per_trigger=1).select("doc_id", "text")
     path = str(tmp_path / "store")
     run.drain_batches(stream, changes.embed_new_chunks(build, encoding.embed, path), "ingest")
-    assert sorted(r.text for r in spark.read.parquet(path).collect()) == ["other", "same"]
+    stored = spark.read.parquet(path)
+    assert sorted(r.text for r in stored.where("embedding is not null").collect()) == ["other", "same"]
+    counted = changes.counted_chunks(stored)
+    whole = str(tmp_path / "whole")
+    all_at_once = run.read_stream(spark, f"{tmp_path}/b*.parquet").select("doc_id", "text")
+    run.drain_batches(all_at_once, changes.embed_new_chunks(build, encoding.embed, whole), "ingest")
+    once = changes.counted_chunks(spark.read.parquet(whole))
+    assert sorted(counted.collect()) == sorted(once.collect()) and sorted(r.copies for r in counted.collect()) == [1, 3]
 
 
 def test_close_pairs_from_two_streams(spark, tmp_path):
