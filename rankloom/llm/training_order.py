@@ -67,14 +67,13 @@ def numbers(at: np.ndarray, size: int, key: int) -> np.ndarray:
 def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END, pad: int = PAD) -> DataFrame:
     """(part, idx, one, doc_id, doc_start, n_tokens, ids): each task's ids cut at ``length``.
 
-    ids are unsigned 16-bit, padded to ``length`` (only a task's last sequence is), and travel compressed. doc_id and
-    doc_start tell what its first token is. The vocabulary must have at most 65,536 ids.
+    ids are unsigned 16-bit, padded to ``length`` (only a task's last sequence is). doc_id and doc_start tell what its
+    first token is. The vocabulary must have at most 65,536 ids.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, idx = encoder_of(tokenizer, "<u2"), TaskContext.get().partitionId(), 0
         last, size, padding = np.array([end], "<u2").tobytes(), 2 * length, np.array([pad], "<u2").tobytes()
-        packed = zstandard.ZstdCompressor(level=1).compress
         held, first = b"", (None, 0)  # ids not yet in a sequence, and where their first token stands
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
@@ -93,15 +92,15 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int =
                 if len(ids) < at:
                     held += ids
                     continue
-                found.append((part, idx, 1, *first, length, packed(held + ids[:at])))
+                found.append((part, idx, 1, *first, length, held + ids[:at]))
                 idx += 1
                 while at + size <= len(ids):
-                    found.append((part, idx, 1, doc, at // 2, length, packed(ids[at : at + size])))
+                    found.append((part, idx, 1, doc, at // 2, length, ids[at : at + size]))
                     idx, at = idx + 1, at + size
                 held, first = ids[at:], (doc, at // 2)
             yield rows(found)
         if held:
-            yield rows([(part, idx, 1, *first, len(held) // 2, packed(held + padding * (length - len(held) // 2)))])
+            yield rows([(part, idx, 1, *first, len(held) // 2, held + padding * (length - len(held) // 2))])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         cut, "part int, idx long, one long, doc_id long, doc_start long, n_tokens int, ids binary"
@@ -123,7 +122,12 @@ def materialise(
     path = path or scratch_path(spark, "training-order")
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds the slots; ids go on compressed one by one (in the stored table whole pages are, which is tighter)."""
+        packed = zstandard.ZstdCompressor(level=6).compress
         for batch in batches:
+            if "ids" in batch.schema.names:
+                ids = pa.array(map(packed, batch.column("ids").to_pylist()), pa.binary())
+                batch = batch.set_column(batch.schema.get_field_index("ids"), "ids", ids)
             at = slots(batch.column("sequence").to_numpy(), total, key) if batch.num_rows else np.zeros(0, np.int64)
             yield batch.append_column("slot", pa.array(at, pa.int64()))
 
