@@ -1,7 +1,8 @@
 """Structured Streaming queries: the tables are read as streams and drained.
 
 Append mode emits a window once the watermark (newest event less two hours) has
-passed its end, so the checking SQL keeps closed windows only.
+passed its end. Windows open at the end of the table are closed by a later, empty
+row, so results hold every window.
 """
 
 from __future__ import annotations
@@ -19,13 +20,6 @@ from rankloom.session import apply_settings
 from rankloom.sources import store
 from rankloom.streaming import changes, freshness, run, state, windows
 
-CLOSED = "(SELECT max(ts) - INTERVAL 2 HOURS FROM events)"
-
-
-def closed_for(kind: str) -> str:
-    """Watermark of a stream of one kind of event."""
-    return f"(SELECT max(ts) - INTERVAL 2 HOURS FROM events WHERE event_type = '{kind}')"
-
 
 def _stream(spark, sf_dir, name: str) -> DataFrame:
     # a stream source takes a folder or a pattern; the braces make the path one, be it a file or a folder
@@ -47,45 +41,55 @@ def _drained(spark, stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def _closed(spark, sf_dir, label: str, build, stream: DataFrame) -> DataFrame:
+    newest = tables.events(spark, sf_dir).agg(F.max("ts").alias("ts"))
+    return run.drain_and_close(build, stream, newest, label)
+
+
 @query(
     "stream_tumbling",
-    f"""WITH w AS (SELECT date_trunc('minute', ts) AS started, user_id % 10 AS store FROM events WHERE event_type = 'purchase')
-SELECT started, started + INTERVAL 1 MINUTE AS ended, store, count(*) AS n FROM w
-WHERE started + INTERVAL 1 MINUTE <= {closed_for('purchase')} GROUP BY started, store""",
+    """WITH w AS (SELECT date_trunc('minute', ts) AS started, user_id % 10 AS store FROM events WHERE event_type = 'purchase')
+SELECT started, started + INTERVAL 1 MINUTE AS ended, store, count(*) AS n FROM w GROUP BY started, store""",
 )
 def stream_tumbling(spark, sf_dir):
     """Purchases per minute and store."""
     events = _event_stream(spark, sf_dir).withColumn("store", F.col("user_id") % 10)
-    bought = windows.timely(events.where(F.col("event_type") == "purchase"))
-    out = windows.tumbling(bought, ["store"], "1 minute")
-    return _plain(_drained(spark, out, "tumbling"), "started", "ended")
+    bought = events.where(F.col("event_type") == "purchase")
+    out = _closed(
+        spark, sf_dir, "tumbling", lambda rows: windows.tumbling(windows.timely(rows), ["store"], "1 minute"), bought
+    )
+    return _plain(out, "started", "ended")
 
 
 @query(
     "stream_sliding",
-    f"""WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTES, ts) - to_minutes(CAST(5 * i AS INTEGER)) AS started, event_type
+    """WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTES, ts) - to_minutes(CAST(5 * i AS INTEGER)) AS started, event_type
   FROM events, range(2) t(i))
-SELECT started, started + INTERVAL 10 MINUTES AS ended, event_type, count(*) AS n FROM w
-WHERE started + INTERVAL 10 MINUTES <= {CLOSED} GROUP BY started, event_type""",
+SELECT started, started + INTERVAL 10 MINUTES AS ended, event_type, count(*) AS n FROM w GROUP BY started, event_type""",
 )
 def stream_sliding(spark, sf_dir):
     """Ten-minute counts every five minutes."""
-    out = windows.sliding(windows.timely(_event_stream(spark, sf_dir)), ["event_type"], "10 minutes", "5 minutes")
-    return _plain(_drained(spark, out, "sliding"), "started", "ended")
+
+    def build(rows: DataFrame) -> DataFrame:
+        return windows.sliding(windows.timely(rows), ["event_type"], "10 minutes", "5 minutes")
+
+    return _plain(_closed(spark, sf_dir, "sliding", build, _event_stream(spark, sf_dir)), "started", "ended")
 
 
 @query(
     "stream_sessions",
-    f"""WITH f AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTES OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new
+    """WITH f AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTES OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM f)
-SELECT min(ts) AS started, max(ts) + INTERVAL 30 MINUTES AS ended, user_id, count(*) AS n FROM s GROUP BY user_id, session
-HAVING max(ts) + INTERVAL 30 MINUTES <= {CLOSED}""",
+SELECT min(ts) AS started, max(ts) + INTERVAL 30 MINUTES AS ended, user_id, count(*) AS n FROM s GROUP BY user_id, session""",
 )
 def stream_sessions(spark, sf_dir):
     """Sessions with a 30-minute gap, emitted when closed."""
-    out = windows.session(windows.timely(_event_stream(spark, sf_dir)), ["user_id"], "30 minutes")
-    return _plain(_drained(spark, out, "sessions"), "started", "ended")
+
+    def build(rows: DataFrame) -> DataFrame:
+        return windows.session(windows.timely(rows), ["user_id"], "30 minutes")
+
+    return _plain(_closed(spark, sf_dir, "sessions", build, _event_stream(spark, sf_dir)), "started", "ended")
 
 
 @query("stream_deduplicated", "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY event_type")
@@ -99,17 +103,27 @@ def stream_deduplicated(spark, sf_dir):
 
 @query(
     "stream_close_pairs",
-    f"""WITH c AS (SELECT user_id, ts, time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS e FROM events WHERE event_type = 'click'),
-p AS (SELECT user_id, ts, time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS e FROM events WHERE event_type = 'purchase')
-SELECT DISTINCT c.user_id FROM c JOIN p ON c.user_id = p.user_id AND c.ts BETWEEN p.ts - INTERVAL 5 MINUTES AND p.ts + INTERVAL 5 MINUTES
-WHERE greatest(c.e, p.e) <= least({closed_for('click')}, {closed_for('purchase')})""",
+    """WITH c AS (SELECT user_id, ts FROM events WHERE event_type = 'click'),
+p AS (SELECT user_id, ts FROM events WHERE event_type = 'purchase')
+SELECT DISTINCT c.user_id FROM c JOIN p ON c.user_id = p.user_id AND c.ts BETWEEN p.ts - INTERVAL 5 MINUTES AND p.ts + INTERVAL 5 MINUTES""",
 )
 def stream_close_pairs(spark, sf_dir):
-    """Users with a click and a purchase within five minutes, from two streams."""
-    clicks = windows.timely(_event_stream(spark, sf_dir).where(F.col("event_type") == "click"))
-    purchases = windows.timely(_event_stream(spark, sf_dir).where(F.col("event_type") == "purchase"))
-    pairs = windows.close_pairs(clicks, purchases, "user_id", 300)
-    return _drained(spark, pairs, "pairs").select("user_id").distinct()
+    """Users with a click and a purchase within five minutes, from two streams.
+
+    Pairs in slots that the streams leave open come from the stored rows since then.
+    """
+
+    def kinds(events: DataFrame) -> list[DataFrame]:
+        return [events.where(F.col("event_type") == kind) for kind in ("click", "purchase")]
+
+    clicks, purchases = kinds(_event_stream(spark, sf_dir))
+    pairs = _drained(spark, windows.close_pairs(windows.timely(clicks), windows.timely(purchases), "user_id", 300), "pairs")
+    stored = tables.events(spark, sf_dir)
+    newest = stored.where(F.col("event_type").isin("click", "purchase")).groupBy("event_type").agg(F.max("ts").alias("ts"))
+    # the slower stream sets the watermark; a pair spans two slots of five minutes
+    since = newest.agg((F.min("ts") - F.expr(f"INTERVAL {windows.LATE}") - F.expr("INTERVAL 10 MINUTES")).alias("ts")).scalar()
+    still_open = windows.close_pairs(*kinds(stored.where(F.col("ts") >= since)), "user_id", 300)
+    return pairs.select("user_id").unionByName(still_open.select("user_id")).distinct()
 
 
 @query("stream_running_totals", "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY user_id")
@@ -149,14 +163,16 @@ def stream_late_and_reprocessed(spark, sf_dir):
 
 @query(
     "stream_replay",
-    f"""WITH w AS (SELECT date_trunc('hour', ts) AS started, event_type FROM events)
-SELECT started, event_type, count(*) AS n_stream, count(*) AS n_replayed FROM w
-WHERE started + INTERVAL 1 HOUR <= {CLOSED} GROUP BY started, event_type""",
+    """WITH w AS (SELECT date_trunc('hour', ts) AS started, event_type FROM events)
+SELECT started, event_type, count(*) AS n_stream, count(*) AS n_replayed FROM w GROUP BY started, event_type""",
 )
 def stream_replay(spark, sf_dir):
-    """The same function over the stream and over the stored events: equal for every closed window."""
-    streamed = windows.tumbling(windows.timely(_event_stream(spark, sf_dir)), ["event_type"], "1 hour")
-    first = _drained(spark, streamed, "replayed").withColumnRenamed("n", "n_stream")
+    """The same function over the stream and over the stored events: equal for every window."""
+
+    def build(rows: DataFrame) -> DataFrame:
+        return windows.tumbling(windows.timely(rows), ["event_type"], "1 hour")
+
+    first = _closed(spark, sf_dir, "replayed", build, _event_stream(spark, sf_dir)).withColumnRenamed("n", "n_stream")
     again = windows.tumbling(tables.events(spark, sf_dir), ["event_type"], "1 hour").withColumnRenamed("n", "n_replayed")
     both = first.join(again.drop("ended"), ["started", "event_type"], "left")
     return _plain(both, "started").select("started", "event_type", "n_stream", "n_replayed")

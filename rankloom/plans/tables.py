@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,15 +48,24 @@ def day_of(ts: Column) -> Column:
     return F.to_date(ts)
 
 
-_BUILT: dict[tuple, DataFrame] = {}
+_BUILT: dict[tuple, tuple[tuple, DataFrame]] = {}
 
 
-def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    """Tables derived once per application and read by many queries."""
+def _version(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> tuple:
+    """Changes with the files of these tables: how many, and a digest of their paths, times and lengths."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{sf_dir}/{n}.parquet" for n in names])
+    digest = F.bit_xor(F.xxhash64("path", "modificationTime", "length"))  # the content itself isn't read
+    return tuple(files.agg(F.count(F.lit(1)), digest).first())
+
+
+def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame], *names: str) -> DataFrame:
+    """Tables derived from the tables ``names`` (the documents, if none), once per application while those stay as they are."""
+    apply_settings(spark)
+    version = _version(spark, key[1], names or ("documents",))
     key = (spark.sparkContext.applicationId, *key)
-    if key not in _BUILT:
-        _BUILT[key] = through_table(build(), str(key[1]))
-    return _BUILT[key]
+    if key not in _BUILT or _BUILT[key][0] != version:
+        _BUILT[key] = (version, through_table(build(), str(key[1])))
+    return _BUILT[key][1]
 
 
 def chunk_index(spark: SparkSession, sf_dir: str, size: int = CHUNK[0], overlap: int = CHUNK[1]) -> DataFrame:
@@ -94,7 +103,7 @@ def relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         return passage_labels(eval_queries(spark, sf_dir), documents(spark, sf_dir))
 
-    return _once(spark, ("relevance", sf_dir), build)
+    return _once(spark, ("relevance", sf_dir), build, "documents", "benchmark")
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

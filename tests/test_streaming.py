@@ -53,6 +53,31 @@ def test_late_rows_are_dropped_and_reprocessed(spark, tmp_path):
     assert fixed == {0: 2, 3: 1, 5: 2}
 
 
+def test_windows_open_at_the_end_are_closed_whatever_the_batches(spark, tmp_path):
+    batches = [[(10 * b + i, i % 2, at(b + i / 10), 1.0) for i in range(8)] for b in range(10)]
+    write_batches(spark, str(tmp_path), batches, EVENTS)
+    plain = spark.read.parquet(f"{tmp_path}/b*.parquet")
+    newest = plain.agg(F.max("ts").alias("ts"))
+    forms = {
+        "tumbling": lambda rows: windows.tumbling(windows.timely(rows), ["user_id"], "1 hour"),
+        "sessions": lambda rows: windows.session(windows.timely(rows), ["user_id"], "20 minutes"),
+    }
+    for label, build in forms.items():
+        want = sorted(map(tuple, build(plain).collect()), key=str)
+        for files in (None, 1):
+            stream = run.read_stream(spark, f"{tmp_path}/b*.parquet", files_per_trigger=files)
+            got = run.drain_and_close(build, stream, newest, label)
+            assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_closing_an_empty_stream_gives_no_rows(spark, tmp_path):
+    write_batches(spark, str(tmp_path), [[]], EVENTS)
+    stream = run.read_stream(spark, f"{tmp_path}/b*.parquet")
+    newest = spark.read.parquet(f"{tmp_path}/b*.parquet").agg(F.max("ts").alias("ts"))
+    got = run.drain_and_close(lambda rows: windows.tumbling(windows.timely(rows), ["user_id"], "1 hour"), stream, newest, "none")
+    assert got.count() == 0
+
+
 def test_repeated_event_ids_count_once(spark, tmp_path):
     batches = [[(1, 1, at(0), 1.0), (1, 1, at(0), 1.0)], [(1, 1, at(0.1), 1.0), (2, 1, at(0.2), 1.0)]]
     write_batches(spark, str(tmp_path), batches, EVENTS)
