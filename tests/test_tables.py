@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rankloom import scale
 from rankloom.operators import access, capacity, chunking, lifecycle, patterns, topk
+from rankloom.plans import tables
 from rankloom.sources import jsonl, store
 
 
@@ -19,6 +20,18 @@ def test_checkpoints_go_to_the_folder_the_session_names(spark):
     assert scale.through_table(frame, "t").count() == 5
 
 
+def test_derived_tables_follow_their_files(spark, tmp_path):
+    def count():
+        return tables._once(spark, ("t", str(tmp_path)), lambda: spark.read.parquet(f"{tmp_path}/documents.parquet")).count()
+
+    spark.range(3).write.parquet(f"{tmp_path}/documents.parquet")
+    assert count() == 3
+    built = dict(tables._BUILT)
+    assert count() == 3 and tables._BUILT == built
+    spark.range(2).write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    assert count() == 5
+
+
 def test_size_check(spark):
     frame = spark.range(100)
     assert scale.is_small(frame, 100)
