@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
 from rankloom.functions import vectors as V
-from rankloom.operators import chunking, encoding, evaluation, lexical, ranking, rerank, topk
+from rankloom.operators import chunking, encoding, evaluation, lexical, postings, ranking, rerank, topk
 from rankloom.plans import duck as D
 from rankloom.plans import tables
 from rankloom.plans.registry import query
@@ -122,6 +122,17 @@ def bm25_search(spark, sf_dir):
     return _rounded(hits, "score")
 
 
+@query(
+    "bm25_postings_search",
+    D.with_(D.QUERIES, D.bm25_rank("documents", "doc_id", 10, "r"))
+    + "SELECT query_id, doc_id, round(score, 6) AS score, rank FROM r",
+)
+def bm25_postings_search(spark, sf_dir):
+    """The same search from stored postings: only the buckets of the queries' terms are read."""
+    held, weights = tables.doc_postings(spark, sf_dir), tables.doc_weights(spark, sf_dir)
+    return _rounded(postings.search(tables.eval_queries(spark, sf_dir), held, weights, 10, ["doc_id"]), "score")
+
+
 @query(
     "bm25_chunk_search",
     D.with_(D.QUERIES, D.chunks(), D.bm25_rank("chunks", "doc_id, chunk_index", 30, "r"))

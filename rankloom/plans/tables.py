@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
+from rankloom.operators import postings
 from rankloom.operators.chunking import fixed_chunks
 from rankloom.operators.encoding import embed
 from rankloom.operators.evaluation import passage_labels
 from rankloom.operators.lexical import term_weights
-from rankloom.scale import spread, through_table
+from rankloom.scale import scratch_path, spread, through_table
 from rankloom.session import apply_settings
 
 CHUNK = (32, 8)
@@ -58,13 +59,22 @@ def _version(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> tuple:
     return tuple(files.agg(F.count(F.lit(1)), digest).first())
 
 
-def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame], *names: str) -> DataFrame:
-    """Tables derived from the tables ``names`` (the documents, if none), once per application while those stay as they are."""
+def _once(
+    spark: SparkSession,
+    key: tuple,
+    build: Callable[[], DataFrame],
+    *names: str,
+    keep: Callable[[DataFrame, str], DataFrame] = through_table,
+) -> DataFrame:
+    """Tables derived from the tables ``names`` (the documents, if none), once per application while those stay as they are.
+
+    ``keep`` writes what is built and reads it back.
+    """
     apply_settings(spark)
     version = _version(spark, key[1], names or ("documents",))
     key = (spark.sparkContext.applicationId, *key)
     if key not in _BUILT or _BUILT[key][0] != version:
-        _BUILT[key] = (version, through_table(build(), str(key[1])))
+        _BUILT[key] = (version, keep(build(), str(key[1])))
     return _BUILT[key][1]
 
 
@@ -97,6 +107,16 @@ def doc_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, ("doc-weights", sf_dir), lambda: term_weights(doc_index(spark, sf_dir)))
 
 
+def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings of whole documents, stored by bucket of the term."""
+
+    def keep(rows: DataFrame, label: str) -> DataFrame:
+        return postings.store(rows, ["doc_id"], scratch_path(spark, label))
+
+    key = ("doc-postings", sf_dir)
+    return _once(spark, key, lambda: postings.postings(doc_index(spark, sf_dir), ["doc_id"]), keep=keep)
+
+
 def relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(query_id, doc_id): the documents that contain the passage."""
 
