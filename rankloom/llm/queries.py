@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.llm import (
-    kneser_ney, language, near_duplicates, packing, pieces, pii, pivot_index, toxicity, training_order, vantage,
+    kneser_ney, language, near_duplicates, packing, passages, pieces, pii, pivot_index, toxicity, training_order, vantage,
 )
 from rankloom.llm.common import table
 
@@ -60,11 +60,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii_pseudonyms, op2_exact_topk, op3_quality_kneser_ney, op4_vantage_trees, op5_packing,
-        op6_training_order, op7_language, op8_near_duplicates, op9_pieces, op10_toxicity,
+        op6_training_order, op7_language, op8_near_duplicates, op9_pieces, op10_toxicity, op11_repeated_passages,
     )
 }
 
