@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ BLOCK_BYTES = 1 << 20
 #: Minimizers of a bucket and bytes of a shard that are aimed at.
 BUCKET_KEYS, SHARD_BYTES = 2_000_000, 2_000_000
 #: A minimizer that more documents hold has its windows dealt one by one.
-HOT_DOCUMENTS = 4096
+HOT_DOCUMENTS = 50_000
 #: Windows of a stretch; longer runs of one minimizer are repetitions and cut at multiples.
 MOST_WINDOWS = 512
 #: Positions that are worked on at once, so that arrays stay in the processor's cache.
@@ -135,42 +136,41 @@ class Block:
         another[1:] |= self.ids[ids[1:]] != self.ids[ids[:-1]]
         return keys[new], back, np.bincount(place[another], minlength=int(new.sum()))
 
-    def stretches(self, flags: np.ndarray, shards: int) -> list[tuple[int, "Stretches"]]:
-        """For each shard its different stretches, by the bucket's answers on this block's keys."""
+    def stretches(self, flags: np.ndarray, shards: int) -> Iterator[tuple[int, "Stretches"]]:
+        """For each shard its different stretches, by the buckets' answers on this block's keys."""
         flag = flags[self.key_of]
-        shard = (mixed(self.keys, 1) % np.uint64(shards)).astype(np.int64)
-        found: dict[int, Stretches] = {}
-        runs = np.flatnonzero(flag)
-        runs = runs[np.argsort(shard[runs], kind="stable")]
-        text, extra = self.text, self.length - 1
-        rows = zip(shard[runs].tolist(), self.starts[runs].tolist(), self.counts[runs].tolist(), self.ids[self.doc[runs]].tolist(), flag[runs].tolist())
-        for to, start, count, doc, hot in rows:
-            if hot > 1:  # window by window
-                for i in range(start, start + count):
-                    window = text[i : i + self.length]
-                    found.setdefault(zlib.crc32(window) % shards, Stretches()).add(window, i, 1, doc)
-                continue
-            if to not in found:
-                found[to] = Stretches()
-            found[to].add(text[start : start + count + extra], start, count, doc)
-        return sorted(found.items())
-
-
+        cold, hot = np.flatnonzero(flag == 1), np.flatnonzero(flag > 1)
+        to = (mixed(self.keys[cold], 1) % np.uint64(shards)).astype(np.int64)
+        # a hot run goes window by window
+        start = np.repeat(self.starts[hot], self.counts[hot]) + _counting(self.counts[hot])
+        windows = (self.text[i : i + self.length] for i in start.tolist())
+        to = np.concatenate((to, np.fromiter((zlib.crc32(w) % shards for w in windows), np.int64, len(start))))
+        count = np.concatenate((self.counts[cold], np.ones(len(start), np.int64)))
+        doc = self.ids[np.concatenate((self.doc[cold], np.repeat(self.doc[hot], self.counts[hot])))]
+        start = np.concatenate((self.starts[cold], start))
+        order = np.argsort(to, kind="stable")
+        to, start, count, doc = to[order], start[order], count[order], doc[order]
+        edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+        text = self.text
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            ends = start[a:b] + (count[a:b] + (self.length - 1))
+            place: dict[bytes, int] = {}
+            at = [place.setdefault(text[i:j], len(place)) for i, j in zip(start[a:b].tolist(), ends.tolist())]
+            least = np.full(len(place), _NO_ID, np.int64)
+            np.minimum.at(least, at, doc[a:b])
+            yield int(to[a]), Stretches(list(place), least, np.array(at), start[a:b], count[a:b], doc[a:b])
+
+
+@dataclass
 class Stretches:
-    """Different strings with the smallest id that holds each, and where the block has them."""
-
-    def __init__(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.least: list[int] = []
-        self.where: list[tuple[int, int, int, int]] = []
+    """Different strings with the smallest id that holds each; for each run its string, its windows and its document."""
 
-    def add(self, string: bytes, start: int, count: int, doc: int) -> None:
-        at = self.place.setdefault(string, len(self.least))
-        if at == len(self.least):
-            self.least.append(doc)
-        elif doc < self.least[at]:
-            self.least[at] = doc
-        self.where.append((at, start, count, doc))
+    strings: list[bytes]
+    least: np.ndarray
+    at: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+    doc: np.ndarray
 
 
 def minimizers(data: np.ndarray, length: int, gram: int = GRAM) -> np.ndarray:
@@ -247,7 +247,7 @@ def _keys_out(buckets: int, length: int):
 
 
 def _judge_keys(rows: pa.Table) -> pa.Table:
-    """kind 2, the answer to each block: a bits of repeated keys, b bits of hot ones, c how many repeated ones the bucket has."""
+    """kind 2, the answer to each block: a bits of repeated keys, b bits of hot ones, c in digits how many repeated ones the bucket has."""
     sent = rows.column("a").to_pylist()
     keys, sizes = _from_five(b"".join(sent)), np.array([len(x) // 5 for x in sent])
     held = np.frombuffer(b"".join(rows.column("b").to_pylist()), "<u2").astype(np.int64)
@@ -259,7 +259,7 @@ def _judge_keys(rows: pa.Table) -> pa.Table:
     documents[order] = total[np.cumsum(new) - 1]
     ends = np.cumsum(sizes)
     parts = [documents[e - n : e] for e, n in zip(ends, sizes)]
-    repeated = np.array([int((total > 1).sum())], "<i8").tobytes()
+    repeated = str(int((total > 1).sum())).encode()
     return pa.table(
         [
             rows.column("block"), rows.column("bucket"), pa.array([2] * len(parts), pa.int32()),
@@ -291,13 +291,12 @@ def _stretches_out(buckets: int, shards: int, length: int):
 
     def run(rows: pa.Table) -> pa.Table:
         opened, out = _opened(rows, buckets, length), []
+        pack = zstandard.ZstdCompressor(level=1)
         if opened:
             block, held, flags = opened
             for shard, some in block.stretches(flags, shards):
-                strings = list(some.place)
-                lengths = np.array([len(s) for s in strings], "<u2").tobytes()
-                body = zstandard.ZstdCompressor(level=1).compress(b"".join(strings))
-                out.append((held[0]["block"], shard, 3, lengths, body, np.array(some.least, "<i8").tobytes()))
+                lengths = np.array([len(s) for s in some.strings], "<u2").tobytes()
+                out.append((held[0]["block"], shard, 3, lengths, pack.compress(b"".join(some.strings)), some.least.astype("<i8").tobytes()))
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         columns = zip(*out) if out else [[]] * 6
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["block", "bucket", "kind", "a", "b", "c"])
@@ -398,13 +397,12 @@ def _cut_out(buckets: int, shards: int, length: int, with_text: bool):
         covered = np.zeros(len(block.data) + 1, np.int32)
         answers = {r["bucket"]: r["a"] for r in rows if r["kind"] == 4}
         for shard, some in block.stretches(flags, shards):
-            sizes = np.array([len(s) for s in some.place], np.int64) - length + 1
+            sizes = np.array([len(s) for s in some.strings], np.int64) - length + 1
             bits = _unbits(answers[shard], int(sizes.sum())).astype(bool)
-            first, least = np.cumsum(sizes) - sizes, np.array(some.least)
-            at, start, count, doc = (np.array(x) for x in zip(*some.where))
+            first, count = np.cumsum(sizes) - sizes, some.count
             step = _counting(count)
-            gone = bits[np.repeat(first[at], count) + step] | np.repeat(least[at] < doc, count)
-            where = (np.repeat(start, count) + step)[gone]
+            gone = bits[np.repeat(first[some.at], count) + step] | np.repeat(some.least[some.at] < some.doc, count)
+            where = (np.repeat(some.start, count) + step)[gone]
             covered[where] += 1  # a window has one run, so no place comes twice
         marks = np.flatnonzero(covered)
         covered[marks + length] -= 1
@@ -449,8 +447,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, with_text: bool = F
     tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, packed // (16 << 20))
     sent = blocks.mapInArrow(_keys_out(buckets, length), ROWS)
     answers = stored(sent.groupBy("bucket").applyInArrow(_judge_keys, ROWS), "passage-keys")
-    counted = answers.where("c is not null").select(F.reverse("c").alias("c"))
-    repeated = counted.agg(F.sum(F.conv(F.hex("c"), 16, 10).cast("long"))).first()[0] or 0
+    repeated = answers.agg(F.sum(F.col("c").cast("string").cast("long"))).first()[0] or 0
     shards = max(8, repeated * (length + 30) // SHARD_BYTES)
     known = blocks.unionByName(answers)
     strings = known.repartition(tasks, "block").groupBy("block").applyInArrow(_stretches_out(buckets, shards, length), ROWS)
