@@ -54,33 +54,37 @@ ROWS = "block long, bucket int, kind int, a binary, b binary, c binary"
 
 
 # ------------------------------------------------------------------------ blocks
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(block_bytes: int):
     """One row for some documents: a their ids, b their ends in the text, c the text."""
-    first, made = TaskContext.get().partitionId() << 32, 0
-    pack = zstandard.ZstdCompressor(level=3)
-    ids, ends, texts, size = [], [], [], 0
-
-    def row() -> pa.RecordBatch:
-        held = [
-            pa.array([first + made], pa.int64()), pa.array([0], pa.int32()), pa.array([0], pa.int32()),
-            pa.array([np.array(ids, "<i8").tobytes()], pa.binary()), pa.array([np.array(ends, "<i8").tobytes()], pa.binary()),
-            pa.array([pack.compress(b"".join(texts))], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(held, ["block", "bucket", "kind", "a", "b", "c"])
-
-    for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-            text = text or b""
-            ids.append(_NO_ID if doc is None else doc)
-            size += len(text)
-            ends.append(size)
-            texts.append(text)
-            if size >= BLOCK_BYTES or len(ids) >= BLOCK_BYTES // 64:
-                yield row()
-                made += 1
-                ids, ends, texts, size = [], [], [], 0
-    if ids:
-        yield row()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, made = TaskContext.get().partitionId() << 32, 0
+        pack = zstandard.ZstdCompressor(level=3)
+        ids, ends, texts, size = [], [], [], 0
+
+        def row() -> pa.RecordBatch:
+            held = [
+                pa.array([first + made], pa.int64()), pa.array([0], pa.int32()), pa.array([0], pa.int32()),
+                pa.array([np.array(ids, "<i8").tobytes()], pa.binary()), pa.array([np.array(ends, "<i8").tobytes()], pa.binary()),
+                pa.array([pack.compress(b"".join(texts))], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(held, ["block", "bucket", "kind", "a", "b", "c"])
+
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                text = text or b""
+                ids.append(_NO_ID if doc is None else doc)
+                size += len(text)
+                ends.append(size)
+                texts.append(text)
+                if size >= block_bytes or len(ids) >= block_bytes // 64:
+                    yield row()
+                    made += 1
+                    ids, ends, texts, size = [], [], [], 0
+        if ids:
+            yield row()
+
+    return run
 
 
 class Block:
@@ -246,28 +250,32 @@ def _keys_out(buckets: int, length: int):
     return run
 
 
-def _judge_keys(rows: pa.Table) -> pa.Table:
+def _judge_keys(hot: int):
     """kind 2, the answer to each block: a bits of repeated keys, b bits of hot ones, c in digits how many repeated ones the bucket has."""
-    sent = rows.column("a").to_pylist()
-    keys, sizes = _from_five(b"".join(sent)), np.array([len(x) // 5 for x in sent])
-    held = np.frombuffer(b"".join(rows.column("b").to_pylist()), "<u2").astype(np.int64)
-    order = np.argsort(keys, kind="stable")
-    new = np.ones(len(keys), bool)
-    new[1:] = np.diff(keys[order]) != 0
-    total = np.add.reduceat(held[order], np.flatnonzero(new)) if len(keys) else held
-    documents = np.empty(len(keys), np.int64)
-    documents[order] = total[np.cumsum(new) - 1]
-    ends = np.cumsum(sizes)
-    parts = [documents[e - n : e] for e, n in zip(ends, sizes)]
-    repeated = str(int((total > 1).sum())).encode()
-    return pa.table(
-        [
-            rows.column("block"), rows.column("bucket"), pa.array([2] * len(parts), pa.int32()),
-            pa.array([_bits(x > 1) for x in parts], pa.binary()), pa.array([_bits(x > HOT_DOCUMENTS) for x in parts], pa.binary()),
-            pa.array([repeated] + [None] * (len(parts) - 1), pa.binary()),
-        ],
-        ["block", "bucket", "kind", "a", "b", "c"],
-    )
+
+    def run(rows: pa.Table) -> pa.Table:
+        sent = rows.column("a").to_pylist()
+        keys, sizes = _from_five(b"".join(sent)), np.array([len(x) // 5 for x in sent])
+        held = np.frombuffer(b"".join(rows.column("b").to_pylist()), "<u2").astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        new = np.ones(len(keys), bool)
+        new[1:] = np.diff(keys[order]) != 0
+        total = np.add.reduceat(held[order], np.flatnonzero(new)) if len(keys) else held
+        documents = np.empty(len(keys), np.int64)
+        documents[order] = total[np.cumsum(new) - 1]
+        ends = np.cumsum(sizes)
+        parts = [documents[e - n : e] for e, n in zip(ends, sizes)]
+        repeated = str(int((total > 1).sum())).encode()
+        return pa.table(
+            [
+                rows.column("block"), rows.column("bucket"), pa.array([2] * len(parts), pa.int32()),
+                pa.array([_bits(x > 1) for x in parts], pa.binary()), pa.array([_bits(x > hot) for x in parts], pa.binary()),
+                pa.array([repeated] + [None] * (len(parts) - 1), pa.binary()),
+            ],
+            ["block", "bucket", "kind", "a", "b", "c"],
+        )
+
+    return run
 
 
 def _opened(rows: pa.Table, buckets: int, length: int) -> tuple[Block, list[dict], np.ndarray] | None:
@@ -426,7 +434,9 @@ def _cut_out(buckets: int, shards: int, length: int, with_text: bool):
     return run
 
 
-def repeated_passages(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, length: int = LENGTH, with_text: bool = False, hot: int = HOT_DOCUMENTS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """For each row of ``docs`` the bytes that lie in a ``length``-byte string which also starts in a document with a smaller id.
 
     Columns: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (begin and end of each removed
@@ -440,13 +450,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, with_text: bool = F
         raise ValueError("length must be from 8 to 64,488")
     prepare(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = stored(named.mapInArrow(_blocks, ROWS), "passage-blocks")
+    blocks = stored(named.mapInArrow(_blocks(block_bytes), ROWS), "passage-blocks")
     size = blocks.agg(F.sum(F.expr("length(c)")).alias("packed"), F.count(F.lit(1)).alias("n")).first()
     packed = size["packed"] or 0
     buckets = max(8, packed // (4 * BUCKET_KEYS))  # a stored byte stands for two and a half; one in 13 begins a run
     tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, packed // (16 << 20))
     sent = blocks.mapInArrow(_keys_out(buckets, length), ROWS)
-    answers = stored(sent.groupBy("bucket").applyInArrow(_judge_keys, ROWS), "passage-keys")
+    answers = stored(sent.groupBy("bucket").applyInArrow(_judge_keys(hot), ROWS), "passage-keys")
     repeated = answers.agg(F.sum(F.col("c").cast("string").cast("long"))).first()[0] or 0
     shards = max(8, repeated * (length + 30) // SHARD_BYTES)
     known = blocks.unionByName(answers)

@@ -54,8 +54,7 @@ def found(df):
 
 
 @pytest.mark.parametrize("length,hot", [(50, 4096), (13, 3), (8, 4096)])
-def test_passages_equal_brute_force(spark, monkeypatch, length, hot):
-    monkeypatch.setattr(passages, "HOT_DOCUMENTS", hot)
+def test_passages_equal_brute_force(spark, length, hot):
     draw = random.Random(length)
     words = ["alpha", "beta", "gam", "d", "eps", "zé", "日本"]
     base = [" ".join(draw.choices(words, k=draw.randint(0, 80))) for _ in range(6)]
@@ -68,18 +67,18 @@ def test_passages_equal_brute_force(spark, monkeypatch, length, hot):
         text = "".join(parts)
         rows.append((draw.choice([i, i, draw.randint(0, 40), None]), draw.choice([text, text, text, None, "", "a" * draw.randint(0, 1500)])))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert found(passages.repeated_passages(df, length)) == plain(rows, length)
+    assert found(passages.repeated_passages(df, length, hot=hot)) == plain(rows, length)
 
 
-def test_a_common_passage_in_many_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [20, 50_000])
+def test_a_common_passage_in_many_blocks(spark, hot):
     """One passage in every document: the smallest id keeps it, wherever that document lies."""
-    monkeypatch.setattr(passages, "BLOCK_BYTES", 2000)
-    monkeypatch.setattr(passages, "HOT_DOCUMENTS", 20)
     draw = random.Random(1)
     common = "this passage of more than fifty bytes stands in every document of the table"
     rows = [(i, f"{draw.random()} {common} {draw.random()}") for i in range(300)]
     draw.shuffle(rows)
-    got = found(passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = found(passages.repeated_passages(df, hot=hot, block_bytes=2000))
     assert got == plain(rows, 50)
     assert sum(r[2] > 0 for r in got) == 299
 
@@ -87,9 +86,9 @@ def test_a_common_passage_in_many_blocks(spark, monkeypatch):
 def test_passages_of_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     short = [(d, t[:3000] if t else t) for d, t in rows]
-    assert len(found(passages.repeated_passages(odd))) == len(rows)
     cut = odd.selectExpr("doc_id", "substring(text, 1, 3000) as text", "id", "part", "rejected")
     assert found(passages.repeated_passages(cut)) == plain(short, 50)
+    assert passages.repeated_passages(odd).count() == len(rows)
     assert passages.repeated_passages(odd.limit(0)).collect() == []
 
 
