@@ -1,10 +1,11 @@
 """Phrases whose words stand together more often than apart: SON partitioning.
 
 With S shards, a phrase that occurs ``support`` times in all occurs at least support/S times in
-one of them. So each shard is mined completely at that lowered support, level by level (a phrase
-can only be frequent if its two shorter ends are), the union of what is frequent somewhere becomes
-one bit map of bounded size, and a second pass counts every phrase in the map exactly. Words are
-counted before, and a phrase with a globally rare word is never looked at.
+one of them. So each shard is mined completely at that support or a lower one, level by level (a phrase
+can only be frequent if its two shorter ends are). Where t is the local support, a shard that doesn't name a phrase has it
+t - 1 times at most; so the counts of the shards that do bound the total from above, and the union keeps only phrases
+whose bound reaches ``support``. It becomes one bit map of bounded size, and a second pass counts every phrase in the map
+exactly. Words are counted before, and a phrase with a globally rare word is never looked at.
 
 Shards hold as much text as a task's memory allows, since fewer shards mean a higher local support. With
 more shards than ``support`` the local support is one: every phrase of frequent words is then a candidate, and
@@ -48,33 +49,34 @@ class Words:
 
     def __init__(self, language: str, texts: list[bytes]):
         self.language = language
-        self.data = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
+        joined = b"\n".join(texts) + b"\n"
+        texts.clear()  # a shard is large: what is read is let go
+        self.data = _LOWER[np.frombuffer(joined, np.uint8)]
+        del joined
         salt = int.from_bytes(language.encode("utf-8")[:64].ljust(8, b"\0"), "little") % (1 << 61)
-        found, at = [], 0
+        found: tuple[list, ...] = ([], [], [], [])
+        at = 0
         while at < len(self.data):
             end = min(at + SLICE, len(self.data))
             if end < len(self.data):  # up to the end of a piece, so that nothing is cut in two
-                marks = np.flatnonzero(_KIND[self.data[at:end]] == 2)
+                seen, marks = at, np.zeros(0, np.int64)
                 while not len(marks):
-                    at_mark = end
-                    end = min(end + SLICE, len(self.data))
-                    marks = np.flatnonzero(_KIND[self.data[at_mark:end]] == 2) + (at_mark - at)
-                end = at + int(marks[-1]) + 1
-            found.append(self._cut(at, end))
+                    marks = np.flatnonzero(_KIND[self.data[seen:end]] == 2) + seen
+                    seen, end = end, min(end + SLICE, len(self.data))
+                end = int(marks[-1]) + 1
+            for held, part in zip(found, self._cut(at, end, salt)):
+                held.append(part)
             at = end
-        starts, lengths, piece_ends, hashes = (np.concatenate(x) for x in zip(*found))
-        self.starts, self.lengths, self.hashes = starts, lengths, mixed(hashes, salt)
-        self.followed = ~piece_ends
-        if len(self.followed):
-            self.followed[-1] = False
+        self.starts, self.lengths, self.hashes, self.followed = (_together(x) for x in found)
+        self.followed[-1:] = False
 
-    def _cut(self, at: int, end: int) -> tuple[np.ndarray, ...]:
+    def _cut(self, at: int, end: int, salt: int) -> tuple[np.ndarray, ...]:
         kind = _KIND[self.data[at:end]]
         starts, lengths, hashes = hashed_runs(self.data[at:end], kind == 0)
         marks = np.cumsum(kind == 2, dtype=np.int32)[starts]
-        last = np.ones(len(starts), bool)
-        last[:-1] = marks[1:] != marks[:-1]
-        return starts + at, lengths, last, hashes
+        followed = np.zeros(len(starts), bool)
+        followed[:-1] = marks[1:] == marks[:-1]
+        return (starts + at).astype(np.int64 if len(self.data) >> 31 else np.int32), lengths, mixed(hashes, salt), followed
 
     def longer(self, keys: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
         """Hashes of the phrases of ``size`` words at ``at``, from those of one word less."""
@@ -90,6 +92,13 @@ class Words:
         return [b" ".join(bytes(view[i:j]).split()) for i, j in zip(self.starts[at].tolist(), ends.tolist())]
 
 
+def _together(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts as one array; they are let go."""
+    out = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    parts.clear()
+    return out
+
+
 class Bits:
     """A set of hashes by their upper bits: it may hold others too, and never misses one."""
 
@@ -209,10 +218,13 @@ def _as_places(keys: np.ndarray, size: int) -> list[tuple[int, bytes]]:
     return [(i, low[edges[i] : edges[i + 1]].tobytes()) for i in np.flatnonzero(np.diff(edges)).tolist()]
 
 
-def _frequent_words(support: int, size: int):
+def _at_least(least: int, size: int, allowance: int = 0):
+    """The bits of the keys whose counts, each less ``allowance``, come to ``least`` together."""
+
     def run(rows: pa.Table) -> pa.Table:
-        keys, sums, _ = _summed(rows)
-        return pa.Table.from_batches([_batch(_as_places(keys[sums >= support], size), _BITS)])
+        keys, sums, group = _summed(rows)
+        sums -= allowance * np.bincount(group, minlength=len(keys))
+        return pa.Table.from_batches([_batch(_as_places(keys[sums >= least], size), _BITS)])
 
     return run
 
@@ -229,11 +241,14 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _batch(rows, _BITS)
 
 
-def _nominations(known, least: int):
+def _nominations(known, least: int, buckets: int):
+    """Each shard's count of every phrase that occurs ``least`` times in it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _languages(batches):
-            found = [keys for size, keys, _, _ in _levels(words, known.value, None, least) if size > 1]
-            yield _batch(_as_places(np.concatenate(found), known.value.size), _BITS)
+            for size, keys, counts, _ in _levels(words, known.value, None, least):
+                parts = _parts(keys, buckets) if size > 1 else []
+                yield _batch([(words.language, i, size, keys[a:b].tobytes(), counts[a:b].astype("<i8").tobytes(), None, None) for i, a, b in parts], _COUNTS)
 
     return run
 
@@ -303,14 +318,17 @@ def phrase_counts(
     shards = max(size // shard_bytes + 1, min(cores, support // 2))
     found = texts.rdd.getNumPartitions()
     texts = texts.coalesce(shards) if found >= shards else texts.repartition(shards)
-    least = -(-support // shards)
+    # complete up to support/shards; half of that is taken, since it makes the bounds much closer
+    least = max(1 + support // (2 * shards), 2) if shards < support else 1
     buckets = max(8, size // (16 << 20))
     counted = stored(texts.mapInArrow(_word_counts(buckets), COUNTS), "word-counts")
     by_bucket = counted.where("bucket >= 0").groupBy("lang", "bucket")
-    known = _map_of(by_bucket.applyInArrow(_frequent_words(support, map_bits), BITS), map_bits)
+    known = _map_of(by_bucket.applyInArrow(_at_least(support, map_bits), BITS), map_bits)
     wanted = None
     if least > 1:
-        wanted = _map_of(stored(texts.mapInArrow(_nominations(known, least), BITS), "phrase-bits"), map_bits)
+        named = texts.mapInArrow(_nominations(known, least, buckets), COUNTS).groupBy("lang", "bucket")
+        bounded = named.applyInArrow(_at_least(support - shards * (least - 1), map_bits, least - 1), BITS)
+        wanted = _map_of(bounded, map_bits)
     counts = texts.mapInArrow(_phrase_counts(known, wanted, least, buckets), COUNTS)
     frequent = stored(counts.groupBy("lang", "bucket").applyInArrow(_frequent_phrases(support), PHRASES), "phrases")
     n = F.sum(F.col("texts").cast("string").cast("long")).alias("n")

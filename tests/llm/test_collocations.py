@@ -80,9 +80,9 @@ def test_a_full_map_and_a_large_frequency_table(spark, corpus, monkeypatch):
 def test_words_are_the_same_whatever_the_slices(monkeypatch):
     texts = [f"{'y' * 100} {'z' * 300} End.. ,a\tb " * 4, "", "one two  One"] * 3
     encoded = [t.encode() for t in texts]
-    whole = collocations.Words("en", encoded)
+    whole = collocations.Words("en", list(encoded))
     monkeypatch.setattr(collocations, "SLICE", 64)
-    cut = collocations.Words("en", encoded)
+    cut = collocations.Words("en", list(encoded))
     for name in ("starts", "lengths", "hashes", "followed"):
         assert (getattr(whole, name) == getattr(cut, name)).all()
     assert len(set(whole.hashes.tolist())) == len({w for t in texts for w in re.findall(r"[^\x20\x09.,]+", t.lower())})
