@@ -209,7 +209,7 @@ def _shards(model: DataFrame) -> tuple[DataFrame, int]:
 
 
 def document_scores(docs: DataFrame, model: DataFrame, *keep: str) -> DataFrame:
-    """Log-probability (``lp``) and number of characters (``n``) of each row of ``docs``, with the columns ``keep``."""
+    """Log-probability (``lp``) and number of characters (``n``) of each distinct row of ``docs`` by the columns ``keep``, which tell texts apart."""
     spark = docs.sparkSession
     dealt, n = _shards(model)
     chosen = docs.select("text", *keep)
@@ -232,7 +232,9 @@ def document_scores(docs: DataFrame, model: DataFrame, *keep: str) -> DataFrame:
 
         part = chosen.mapInArrow(score, schema)
         parts = part if parts is None else parts.unionByName(part)
-    return parts.groupBy(*keep).agg(F.sum("lp").alias("lp"), F.max("n").alias("n"))
+    # a row that comes several times has a part from each shard as often
+    copies = F.count(F.lit(1)) / n
+    return parts.groupBy(*keep).agg((F.sum("lp") / copies).alias("lp"), F.max("n").alias("n"))
 
 
 # ------------------------------------------------------------------- classifier
