@@ -37,18 +37,20 @@ MOST_NORM = float(1 << 62)
 
 
 def scaled(rows: DataFrame) -> DataFrame:
-    """(vec_id, v, norm2): floor(SCALE * x) of every component as doubles in bytes; unfit rows are left out."""
+    """(vec_id, v, norm2): floor(SCALE * x) of every component as doubles in bytes; unfit rows are left out.
+
+    A vector whose products may not fit into 64 bits is an error, since it can be neither scored nor left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good, matrix = vectors_of(batch.column(1))
             matrix = np.floor(SCALE * matrix)
             norms = (matrix * matrix).sum(axis=1)
-            fits = norms < MOST_NORM
-            ids = batch.column(0).take(pa.array(good[fits]))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(as_rows(matrix[fits], "<f8"), pa.binary()), pa.array(norms[fits])], ["vec_id", "v", "norm2"]
-            )
+            ids = batch.column(0).take(pa.array(good))
+            if (norms >= MOST_NORM).any():
+                raise ValueError(f"vector {ids[int(norms.argmax())]} is too long: its scores may pass 64 bits")
+            yield pa.RecordBatch.from_arrays([ids, pa.array(as_rows(matrix, "<f8"), pa.binary()), pa.array(norms)], ["vec_id", "v", "norm2"])
 
     known = rows.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     return known.mapInArrow(run, "vec_id long, v binary, norm2 double")
@@ -167,8 +169,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner products, ties to smaller vec_id.
 
     ``rows`` and ``queries``: vec_id, embedding. A query's own id is no candidate. Vectors
-    that are null, empty or hold null or non-finite numbers take no part, nor do null ids
-    (nor vectors beyond MOST_NORM after scaling). Repeated rows count once. Fewer candidates
+    that are null, empty or hold null or non-finite numbers take no part, nor do null ids. A finite vector whose
+    squared norm after scaling reaches MOST_NORM raises an error: its scores may not fit into 64 bits. Repeated rows count once. Fewer candidates
     than k are all returned; an empty side gives no rows. Shorter vectors count as filled up
     with zeros. Extra columns play no part.
     """

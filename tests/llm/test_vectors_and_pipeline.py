@@ -76,3 +76,9 @@ def test_pipeline_equals_its_stages_one_by_one(spark):
     pieces = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == ids
     assert pieces.groupBy("doc_id").agg((F.sum("length") == F.max("doc_tokens")).alias("whole")).where("not whole").count() == 0
+
+
+def test_vectors_beyond_64_bits_are_an_error(spark):
+    rows = spark.createDataFrame([(0, [1e10] * 4), (1, [1.0] * 4)], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="too long"):
+        pivot_index.search(rows, rows, 2).collect()
