@@ -311,3 +311,32 @@ def test_classifiers_on_odd_rows(odd, labels, ids):
         assert toxicity.judged(nothing, labels.limit(0)).where("toxic").count() == 0
         assert kneser_ney.judged(nothing, labels.limit(0)).where("not keep").count() == 0
     assert language.identify(odd.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------- repeated and hostile rows
+@pytest.mark.parametrize("text", ["x a@b" + ".a" * 20_000, "a@" + "b" * 200_000, "1.1" * 50_000, "AB12 " + "ABCD " * 30_000, "1-" * 80_000, "token=" * 30_000])
+def test_long_runs_of_one_pattern_end(spark, text):
+    """Runs that once made the pattern engine call itself for each part."""
+    found = pii.pseudonymised(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert len(found.text) == len(text)
+
+
+def test_repeated_rows_are_judged_like_one(spark):
+    rows = [(i, " ".join(f"word{(i * j) % 9}" for j in range(30)), "en") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    schema = "doc_id long, text string, lang string"
+    once = {r.doc_id: r.perplexity for r in kneser_ney.judged(spark.createDataFrame(rows, schema), labels).collect()}
+    again = [*rows, *[r for r in rows[:3] for _ in range(3)]]
+    # the model sees more text, so perplexities move a little; they don't double with the copies
+    for r in kneser_ney.judged(spark.createDataFrame(again, schema), labels).collect():
+        assert r.perplexity == pytest.approx(once[r.doc_id], rel=0.25)
+
+
+def test_texts_of_one_id_are_linked_apart(spark):
+    """Near copies of either text of an id join its class, and so does a third text."""
+    rng = random.Random(6)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(3)]
+    near = [t[:30] + ["other"] + t[31:] for t in texts]
+    rows = [(1, " ".join(t)) for t in texts] + [(3 + i, " ".join(t)) for i, t in enumerate(near)] + [(9, "something else entirely, that nobody has")]
+    found = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.class_id for r in found.collect()} == {1: 1, 3: 1, 4: 1, 5: 1, 9: 9}
