@@ -56,6 +56,29 @@ def fixed_chunks(
     return chunks if strategy is None else chunks.withColumn("chunk_strategy_id", F.lit(strategy))
 
 
+def swept_chunks(docs: DataFrame, configs: Sequence[tuple[int, int]], text: str = "text") -> DataFrame:
+    """The chunks of several (size, overlap) choices, told apart by ``config`` ("size/overlap"), from one pass over the text."""
+    for size, overlap in configs:
+        check_config(size, overlap)
+    others = [c for c in docs.columns if c != text]
+    tokens = docs.select(*others, T.ws_tokens(F.col(text)).alias("_tokens")).where(F.size("_tokens") > 0)
+    n = F.size("_tokens")
+
+    def pieces(size: int, overlap: int):
+        return F.transform(
+            F.sequence(F.lit(0), window_count(n, size, overlap) - 1),
+            lambda i: F.struct(
+                F.lit(f"{size}/{overlap}").alias("config"),
+                i.alias("chunk_index"),
+                F.slice("_tokens", i * (size - overlap) + 1, size).alias("_piece"),
+            ),
+        )
+
+    rows = tokens.select(*others, F.inline(F.concat(*[pieces(*c) for c in configs])))
+    named = rows.withColumn("text", T.rejoin(F.col("_piece"))).withColumn("n_tokens_ws", F.size("_piece"))
+    return named.drop("_piece").withColumn("chunk_id", T.content_key(F.col("text")))
+
+
 def sentence_chunks(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
     """Whole sentences packed greedily up to ``size`` tokens.
 

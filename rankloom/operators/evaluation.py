@@ -90,8 +90,8 @@ def scorable(queries: DataFrame, labels: DataFrame) -> DataFrame:
     return queries.join(labels.select("query_id").distinct(), "query_id", "left_semi")
 
 
-def delta(means: DataFrame, column: str, base: str, other: str, measures: Sequence[str]) -> DataFrame:
-    """``other`` minus ``base`` (values of ``column``) for each measure, with both sides."""
+def delta(means: DataFrame, column: str, base: str, other: str, measures: Sequence[str], per: Sequence[str] = ()) -> DataFrame:
+    """``other`` minus ``base`` (values of ``column``) for each measure, with both sides; for each value of ``per``."""
     def side(name: str, measure: str):
         return F.max(F.when(F.col(column) == name, F.col(measure)))
 
@@ -104,7 +104,7 @@ def delta(means: DataFrame, column: str, base: str, other: str, measures: Sequen
         )
         for m in measures
     ]
-    return means.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+    return means.groupBy(*per).agg(F.array(*rows).alias("_rows")).select(*per, F.inline("_rows"))
 
 
 def cut_over_gate(means: DataFrame, column: str, old: str, new: str, measure: str, tolerance: float) -> DataFrame:

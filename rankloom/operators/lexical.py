@@ -23,23 +23,32 @@ def with_terms(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.withColumn("terms", T.word_terms(F.col(text)))
 
 
-def corpus_stats(corpus: DataFrame) -> DataFrame:
-    """One row: number of rows and mean length in terms."""
-    return corpus.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("avgdl"))
+def corpus_stats(corpus: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """One row (for each value of ``per``): number of rows and mean length in terms."""
+    return corpus.groupBy(*per).agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("avgdl"))
 
 
-def document_frequency(corpus: DataFrame) -> DataFrame:
+def document_frequency(corpus: DataFrame, per: Sequence[str] = ()) -> DataFrame:
     """Rows per term. Terms are made distinct inside the row, so no (row, term) shuffle is needed."""
-    terms = corpus.select(F.explode(F.array_distinct("terms")).alias("term"))
+    terms = corpus.select(*per, F.explode(F.array_distinct("terms")).alias("term"))
     # the filter a join on term would add, so that all uses share one exchange
-    return terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return terms.where(F.col("term").isNotNull()).groupBy(*per, "term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def term_weights(corpus: DataFrame) -> DataFrame:
-    """(term, idf, avgdl) of a corpus: the statistics to store beside its index.
+def term_weights(corpus: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """(*per, term, idf, avgdl) of a corpus: the statistics to store beside its index.
 
-    A negative idf becomes EPSILON times the mean idf of the whole vocabulary.
+    A negative idf becomes EPSILON times the mean idf of the whole vocabulary. With ``per`` each of
+    its values is a corpus of its own; there must be few.
     """
+    per = list(per)
+    if per:
+        frequency = document_frequency(corpus, per).join(F.broadcast(corpus_stats(corpus, per)), per)
+        frequency = frequency.withColumn("idf", F.ln(F.col("n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+        floor = frequency.groupBy(*per).agg((F.avg("idf") * EPSILON).alias("floor"))
+        frequency = frequency.join(F.broadcast(floor), per)
+        idf = F.when(F.col("idf") < 0, F.col("floor")).otherwise(F.col("idf"))
+        return frequency.select(*per, "term", idf.alias("idf"), "avgdl")
     stats = corpus_stats(corpus)
     n = stats.select("n").scalar()
     frequency = document_frequency(corpus).withColumn(
@@ -50,8 +59,8 @@ def term_weights(corpus: DataFrame) -> DataFrame:
     return frequency.select("term", idf.alias("idf"), stats.select("avgdl").scalar().alias("avgdl"))
 
 
-def query_weights(queries: DataFrame, weights: DataFrame, text: str = "query") -> DataFrame:
-    """(query_id, term, weight, avgdl): idf times the term's count in the query.
+def query_weights(queries: DataFrame, weights: DataFrame, text: str = "query", per: Sequence[str] = ()) -> DataFrame:
+    """(*per, query_id, term, weight, avgdl): idf times the term's count in the query.
 
     Terms the corpus lacks drop out.
     """
@@ -60,7 +69,7 @@ def query_weights(queries: DataFrame, weights: DataFrame, text: str = "query") -
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
-    return asked.join(weights, "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"), "avgdl")
+    return asked.join(weights, "term").select(*per, "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"), "avgdl")
 
 
 class LexicalScorer:

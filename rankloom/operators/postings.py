@@ -1,72 +1,222 @@
-"""BM25 from stored postings: a search reads only the rows of the terms it asks for.
-
-A posting is one (term, row) pair with its share of the score. Postings are stored
-by a bucket of the term's hash, and sorted by term within a file, so the buckets of
-the terms asked for are the only folders read, and row groups without these terms
-are skipped. A term that a large part of the rows hold is spread over several files
-of its bucket. Everything runs inside the JVM, and the sums combine before the
-shuffle. For query tables so wide that they ask for most of the vocabulary, the
-block scorer in ``lexical`` does less work; both give the same rows.
+"""BM25 from stored postings: a search reads the lists of its terms, and only the blocks of them that can matter.
+
+Rows of the corpus are dealt into blocks of rows of similar length. What a term adds to a row's score per unit
+of query weight is its impact there. The impacts of one term in one block are one stored row, with their
+largest value beside them. These rows lie by bucket of the term's hash, range-partitioned by (term, block), so a term
+that most rows hold fills several files and a rare one shares a file.
+
+A search goes in two steps, each a handful of joins inside the JVM:
+
+1. Threshold. The terms that can add most are looked up first; the best rows they lead to are scored in full. The k-th
+   of these scores is a lower bound for the k-th score of the query.
+2. Candidates. Taking a query's terms from the one that can add least, those whose largest additions together stay below
+   the threshold can't bring a row there alone. Rows are therefore only looked up by the other, essential terms, and only in
+   blocks where all terms' largest additions reach the threshold. A row whose sum, with the block's bound for the rest, reaches
+   it is scored in full; the rest is never joined.
+
+Both are exact: bounds are widened by a billionth for the order of summation. Corpora that are searched as several
+indexes at once (chunk sizes, say) have a ``space`` column: statistics and results are then per space.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.operators.lexical import B, K1, corpus_stats, query_weights
-from rankloom.operators.ranking import ranked
-from rankloom.scale import broadcast_if_small, cut_lineage
+from rankloom.operators.ranking import by_score
+from rankloom.scale import BROADCAST_BYTES, BROADCAST_ROWS, through_table
 
-BUCKETS = 64
-#: Files that the rows of one bucket, and so of one term, are dealt to.
-SPREAD = 8
+#: Rows of the corpus in a block, about.
+BLOCK_ROWS = 512
+#: Postings of a file that are aimed at, and most folders that files are dealt to.
+FILE_POSTINGS, MOST_BUCKETS = 4_000_000, 1024
 #: Up to so many different terms are named in the filter that reaches the scan; beyond it buckets alone are.
 NAMED_TERMS = 1000
+SLACK = 1e-9
+
+
+def _bucket(term: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(term), buckets).cast("int")
 
 
-def _bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+def _block(corpus: DataFrame, keys: Sequence[str]) -> Column:
+    """Numbers of blocks: rows are classed by length (two classes an octave), a class is cut by the key's hash."""
+    level = F.floor(F.log2(F.size("terms") + 1) * 2).cast("int")
+    counts = sorted(corpus.where(F.size("terms") > 0).groupBy(level).count().collect())  # a few dozen classes
+    if not counts:
+        return F.lit(0).cast("long")
+    slices = {c: math.ceil(n / BLOCK_ROWS) for c, n in counts}
+    first, at = {}, 0
+    for c, n in slices.items():
+        first[c], at = at, at + n
 
+    def looked_up(values: dict[int, int]) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), level).cast("long")
 
-def postings(corpus: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(term, *keys, impact, bucket) of rows (keys, terms): what a term adds to a row's score per unit of query weight.
+    return looked_up(first) + F.pmod(F.xxhash64(*keys), looked_up(slices))
 
-    Keys tell rows apart. Rows with null or no terms have no postings.
+
+def postings(corpus: DataFrame, keys: Sequence[str], space: str | None = None) -> DataFrame:
+    """(bucket, term, block, n, most, entries, buckets) of rows (keys, terms): entries are (*keys, impact), most the largest impact.
+
+    Keys tell rows apart. Rows with null or no terms have no postings. With ``space`` terms are counted
+    apart for each of its values, which must not be null.
     """
-    keys = list(keys)
-    mean = corpus_stats(corpus).select("avgdl").scalar()
-    each = corpus.select(*keys, F.size("terms").alias("_length"), F.explode("terms").alias("term"))
-    counted = each.where(F.col("term").isNotNull()).groupBy(*keys, "_length", "term").agg(F.count(F.lit(1)).alias("_tf"))
-    impact = F.col("_tf") * (K1 + 1) / (F.col("_tf") + K1 * (1 - B + B * F.col("_length") / mean))
-    return counted.select("term", *keys, impact.alias("impact"), _bucket(F.col("term")).alias("bucket"))
-
-
-def store(rows: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
-    """Write postings by bucket, sorted by term, and read them back."""
-    place = F.pmod(F.xxhash64(*keys), F.lit(SPREAD))
-    dealt = rows.repartition("bucket", place).sortWithinPartitions("bucket", "term")
+    keys, per = list(keys), [space] if space else []
+    total = corpus.agg(F.sum(F.size(F.array_distinct("terms")))).first()[0] or 0
+    buckets = F.lit(min(MOST_BUCKETS, max(8, total // FILE_POSTINGS)))
+    term = _named(space, F.col("term"))
+    each = corpus.select(*per, *keys, F.size("terms").alias("_length"), _block(corpus, keys).alias("block"), F.explode("terms").alias("term"))
+    counted = each.where(F.col("term").isNotNull()).groupBy(*per, *keys, "_length", "block", "term").agg(F.count(F.lit(1)).alias("_tf"))
+    if space:
+        mean = F.broadcast(corpus.groupBy(space).agg(F.avg(F.size("terms")).alias("_mean")))  # one row for each index
+        counted = counted.join(mean, space)
+    else:
+        counted = counted.withColumn("_mean", corpus_stats(corpus).select("avgdl").scalar())
+    impact = F.col("_tf") * (K1 + 1) / (F.col("_tf") + K1 * (1 - B + B * F.col("_length") / F.col("_mean")))
+    packed = counted.select(term.alias("term"), "block", *keys, impact.alias("impact")).groupBy("term", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.max("impact").alias("most"), F.collect_list(F.struct(*keys, "impact")).alias("entries")
+    )
+    return packed.withColumn("buckets", buckets).select(_bucket(F.col("term"), F.col("buckets")).alias("bucket"), *packed.columns, "buckets")
+
+
+def _named(space: str | None, term: Column) -> Column:
+    return F.concat_ws("\x01", F.col(space).cast("string"), term) if space else term
+
+
+def store(rows: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    """Write postings by bucket, sorted by term and block, and read them back; ``files`` as measured if not given."""
+    if files is None:
+        rows = through_table(rows, "postings")
+        files = max(1, (rows.agg(F.sum("n")).first()[0] or 0) // FILE_POSTINGS)
+    dealt = rows.repartitionByRange(files, "bucket", "term", "block").sortWithinPartitions("bucket", "term", "block")
     dealt.write.partitionBy("bucket").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def asked_for(held: DataFrame, asked: DataFrame) -> DataFrame:
-    """The postings that queries (term) can touch, by filters that prune the scan."""
-    buckets = [r[0] for r in asked.select(_bucket(F.col("term"))).distinct().collect()]  # at most BUCKETS
+def asked_for(held: DataFrame, asked: DataFrame, terms: int | None = None) -> DataFrame:
+    """The stored rows that queries (term) can touch, by filters that prune the scan; ``terms`` bounds their number if it is known."""
+    one = held.select("buckets").first()
+    if one is None:
+        return held
+    buckets = [r[0] for r in asked.select(_bucket(F.col("term"), F.lit(one[0]))).distinct().collect()]  # at most MOST_BUCKETS
     found = held.where(F.col("bucket").isin(buckets))
-    terms = [r[0] for r in asked.select("term").distinct().limit(NAMED_TERMS + 1).collect()]
-    return found.where(F.col("term").isin(terms)) if len(terms) <= NAMED_TERMS else found
+    if terms is not None and terms > 10 * NAMED_TERMS:  # queries share terms, but hardly so many
+        return found
+    names = [r[0] for r in asked.select("term").distinct().limit(NAMED_TERMS + 1).collect()]
+    return found.where(F.col("term").isin(names)) if len(names) <= NAMED_TERMS else found
+
 
+class Search:
+    """One search: the frames of its steps, so that tests can count what each of them touches.
+
+    ``asked``: (query_id, term, weight), one row for each term of a query.
+    """
 
-def search(queries: DataFrame, held: DataFrame, weights: DataFrame, k: int, keys: Sequence[str], text: str = "query") -> DataFrame:
+    def __init__(self, asked: DataFrame, held: DataFrame, k: int, keys: Sequence[str]):
+        self.k, self.keys = k, list(keys)
+        self.asked = through_table(asked, "asked-terms")
+        size = F.sum(F.length(F.to_json(F.struct("*"))))
+        self.n, bytes_ = self.asked.agg(F.count(F.lit(1)), size).first()
+        self.small = self.n <= BROADCAST_ROWS and (bytes_ or 0) <= BROADCAST_BYTES
+        self.rows = asked_for(held, self.asked, self.n)
+        self.opened: list[DataFrame] = []
+
+    def _hint(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """What is no larger than the queries' terms, or has so many rows, is broadcast if that is small."""
+        small = self.small if rows is None else rows <= BROADCAST_ROWS
+        return F.broadcast(df) if small else df
+
+    def _entries(self, wanted: DataFrame, on: list[str], *keep: str) -> DataFrame:
+        """The postings of the wanted lists, one row each."""
+        opened = self.rows.join(wanted, on).select("term", "block", *keep, F.inline("entries"))
+        self.opened.append(opened)
+        return opened
+
+    def _in_full(self, rows: DataFrame, terms: DataFrame, n: int) -> DataFrame:
+        """(query_id, *keys, score): stored rows (query_id, block, *keys, partial) with what ``terms`` add to them.
+
+        ``n`` bounds the number of pairs of a row and a term.
+        """
+        needs = rows.select("query_id", "block", *self.keys).join(self._hint(terms), "query_id")
+        entries = self._entries(self._hint(needs.select("term", "block").distinct(), n), ["term", "block"])
+        joined = entries.join(self._hint(needs, n), ["term", "block", *self.keys])
+        added = joined.select("query_id", *self.keys, (F.col("weight") * F.col("impact")).alias("partial"))
+        both = rows.select("query_id", *self.keys, "partial").unionByName(added)
+        return both.groupBy("query_id", *self.keys).agg(F.sum("partial").alias("score"))
+
+    def bounds(self) -> DataFrame:
+        """(query_id, term, block, weight, n, bound): the most that a list adds to a row of its block."""
+        heads = self.rows.select("term", "block", "n", "most").join(self._hint(self.asked), "term")
+        bound = F.greatest(F.col("weight"), F.lit(0.0)) * F.col("most")
+        return through_table(heads.select("query_id", "term", "block", "weight", "n", bound.alias("bound")), "term-bounds")
+
+    def threshold(self, terms: DataFrame) -> DataFrame:
+        """(query_id, least): a lower bound of the k-th score, for queries whose strongest terms lead to k rows."""
+        strongest = Window.partitionBy("query_id").orderBy(F.desc("bound"), "term")
+        before = F.coalesce(F.sum("df").over(strongest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        marked = terms.withColumn("first", before < 2 * self.k)
+        first = self._hint(marked.where("first").select("query_id", "term", "weight"))
+        found = self._entries(first, ["term"], "query_id", "weight")
+        part = found.groupBy("query_id", "block", *self.keys).agg(F.sum(F.col("weight") * F.col("impact")).alias("partial"))
+        best = Window.partitionBy("query_id").orderBy(F.desc("partial"), *self.keys)
+        rows = part.withColumn("_at", F.row_number().over(best)).where(F.col("_at") <= 2 * self.k).drop("_at")
+        rows = through_table(rows, "first-rows")
+        full = self._in_full(rows, marked.where("not first").select("query_id", "term", "weight"), 2 * self.k * self.n)
+        at = Window.partitionBy("query_id").orderBy(F.desc("score"))
+        kth = full.withColumn("_at", F.row_number().over(at)).where(F.col("_at") == self.k)
+        return kth.select("query_id", (F.col("score") - F.abs("score") * SLACK - SLACK).alias("least"))
+
+    def candidates(self, bounds: DataFrame, terms: DataFrame, least: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """((query_id, block, *keys, partial), the terms that are still to be added to them)."""
+        weakest = Window.partitionBy("query_id").orderBy("bound", "term")
+        together = F.sum("bound").over(weakest)
+        split = terms.join(self._hint(least), "query_id", "left").withColumn(
+            "essential", F.col("least").isNull() | (together >= F.col("least"))
+        )
+        split = through_table(split.select("query_id", "term", "weight", "essential", "least"), "essential-terms")
+        known = bounds.drop("weight").join(self._hint(split), ["query_id", "term"])
+        rest = F.sum(F.when(~F.col("essential"), F.col("bound")).otherwise(0.0))
+        live = known.groupBy("query_id", "block").agg(
+            rest.alias("rest"), F.sum("bound").alias("all"), F.first("least").alias("least"), F.max("essential").alias("any")
+        )
+        live = live.where(F.col("any") & (F.col("least").isNull() | (F.col("all") >= F.col("least")))).select("query_id", "block", "rest")
+        wanted = known.where("essential").select("query_id", "term", "block", "weight", "least").join(live, ["query_id", "block"])
+        wanted = through_table(wanted, "essential-lists")
+        found = self._entries(self._hint(wanted, wanted.count()), ["term", "block"], "query_id", "weight", "rest", "least")
+        part = found.groupBy("query_id", "block", *self.keys).agg(
+            F.sum(F.col("weight") * F.col("impact")).alias("partial"), F.first("rest").alias("rest"), F.first("least").alias("least")
+        )
+        rows = part.where(F.col("least").isNull() | (F.col("partial") + F.col("rest") >= F.col("least")))
+        return through_table(rows.drop("rest", "least"), "candidates"), split.where("not essential").select("query_id", "term", "weight")
+
+    def run(self) -> DataFrame:
+        bounds = self.bounds()
+        terms = bounds.groupBy("query_id", "term").agg(F.first("weight").alias("weight"), F.max("bound").alias("bound"), F.sum("n").alias("df"))
+        terms = through_table(terms, "asked-bounds")
+        rows, rest = self.candidates(bounds, terms, self.threshold(terms))
+        longest = rest.groupBy("query_id").count().agg(F.max("count")).first()[0] or 0
+        return self._in_full(rows, rest, rows.count() * longest)
+
+
+def search(
+    queries: DataFrame, held: DataFrame, weights: DataFrame, k: int, keys: Sequence[str], text: str = "query", space: str | None = None
+) -> DataFrame:
     """(query_id, *keys, score, rank): the k best rows per query; rows sharing no term are no hits.
 
-    ``held`` are stored postings, ``weights`` the term weights of the same corpus.
+    ``held`` are stored postings, ``weights`` the term weights of the same corpus. With ``space`` each query is
+    asked in every space of ``weights``, and results have its column.
     """
-    keys = list(keys)
-    asked = cut_lineage(query_weights(queries, weights, text).select("query_id", "term", "weight"))
-    pairs = asked_for(held, asked).join(broadcast_if_small(asked), "term")
-    scored = pairs.groupBy("query_id", *keys).agg(F.sum(F.col("weight") * F.col("impact")).alias("score"))
-    return ranked(scored, k, keys)
+    keys, per = list(keys), [space] if space else []
+    asked = query_weights(queries, weights, text, per)
+    if space:
+        asked = asked.select(F.struct(F.col(space), F.col("query_id").alias("id")).alias("query_id"), _named(space, F.col("term")).alias("term"), "weight")
+    scored = Search(asked.select("query_id", "term", "weight"), held, k, keys).run()
+    if space:
+        scored = scored.select(f"query_id.{space}", F.col("query_id.id").alias("query_id"), *keys, "score")
+    place = F.row_number().over(Window.partitionBy(*per, "query_id").orderBy(*by_score(keys))).cast("bigint")
+    return scored.withColumn("rank", place).where(F.col("rank") <= k)

@@ -27,14 +27,12 @@ def _rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 
 def bm25_chunks(spark, sf_dir, k, size=32, overlap=8) -> DataFrame:
-    index = tables.chunk_index(spark, sf_dir, size, overlap)
     weights = tables.chunk_weights(spark, sf_dir, size, overlap)
-    return lexical.bm25(tables.eval_queries(spark, sf_dir), index, k, KEYS, weights=weights)
+    return postings.search(tables.eval_queries(spark, sf_dir), tables.chunk_postings(spark, sf_dir, size, overlap), weights, k, KEYS)
 
 
 def bm25_documents(spark, sf_dir, queries, k) -> DataFrame:
-    index = tables.doc_index(spark, sf_dir)
-    return lexical.bm25(queries, index, k, ["doc_id"], weights=tables.doc_weights(spark, sf_dir))
+    return postings.search(queries, tables.doc_postings(spark, sf_dir), tables.doc_weights(spark, sf_dir), k, ["doc_id"])
 
 
 def vector_chunks(spark, sf_dir, k, size=32, overlap=8) -> DataFrame:
@@ -122,13 +120,24 @@ def bm25_search(spark, sf_dir):
     return _rounded(hits, "score")
 
 
+@query(
+    "bm25_scan_search",
+    D.with_(D.QUERIES, D.bm25_rank("documents", "doc_id", 10, "r"))
+    + "SELECT query_id, doc_id, round(score, 6) AS score, rank FROM r",
+)
+def bm25_scan_search(spark, sf_dir):
+    """The same search by scoring every document in blocks: the form for query tables that ask for most of the vocabulary."""
+    index, weights = tables.doc_index(spark, sf_dir), tables.doc_weights(spark, sf_dir)
+    return _rounded(lexical.bm25(tables.eval_queries(spark, sf_dir), index, 10, ["doc_id"], weights=weights), "score")
+
+
 @query(
     "bm25_postings_search",
     D.with_(D.QUERIES, D.bm25_rank("documents", "doc_id", 10, "r"))
     + "SELECT query_id, doc_id, round(score, 6) AS score, rank FROM r",
 )
 def bm25_postings_search(spark, sf_dir):
-    """The same search from stored postings: only the buckets of the queries' terms are read."""
+    """The same search from stored postings, opened by hand: only the buckets of the queries' terms are read."""
     held, weights = tables.doc_postings(spark, sf_dir), tables.doc_weights(spark, sf_dir)
     return _rounded(postings.search(tables.eval_queries(spark, sf_dir), held, weights, 10, ["doc_id"]), "score")
 
@@ -328,12 +337,59 @@ def _config_sql(size: int, overlap: int) -> str:
     f"SELECT * FROM {_config_sql(32, 8)} UNION ALL SELECT * FROM {_config_sql(64, 16)}",
 )
 def config_sweep_evaluation(spark, sf_dir):
-    """The whole evaluation under two chunking configurations."""
-    runs = [
-        ranker_scores(spark, sf_dir, size, overlap).withColumn("config", F.lit(f"{size}/{overlap}"))
-        for size, overlap in ((32, 8), (64, 16))
-    ]
-    return _round_means(evaluation.macro_means(union_all(runs), per=["config", "ranker"]))
+    """The whole evaluation under two chunking configurations, in one plan with the configuration as a key."""
+    return _round_means(_config_means(spark, sf_dir))
+
+
+def _config_means(spark, sf_dir) -> DataFrame:
+    """Means per configuration and ranker; each index, search and group-by is one for all configurations."""
+    index, queries = tables.config_index(spark, sf_dir), tables.eval_queries(spark, sf_dir)
+    configs = F.array(*[F.lit(f"{size}/{overlap}") for size, overlap in tables.CONFIGS])
+    named = F.concat_ws("|", "config", "query_id").alias("query_id")
+    asked = tables.query_vectors(spark, sf_dir).withColumn("config", F.explode(configs)).select(named, "config", "embedding")
+    by_vector = topk.top_k(asked, index, topk.VectorScorer(), FUSION_CANDIDATES, KEYS, cell="config")
+    held, weights = tables.config_postings(spark, sf_dir), tables.config_weights(spark, sf_dir)
+    by_words = postings.search(queries, held, weights, FUSION_CANDIDATES, KEYS, space="config")
+    made = {
+        "vec": through_table(by_vector.select("query_id", *KEYS, "rank"), "vec-ranking"),
+        "bm25": through_table(by_words.select(named, *KEYS, "rank"), "bm25-ranking"),
+    }
+    made["hybrid"] = ranking.reciprocal_rank_fusion(made, FUSION_CANDIDATES, KEYS).select("query_id", *KEYS, "rank")
+    docs = ranking.documents_of(ranking.merged(made), MAX_DOCS, per=["ranker", "query_id"])
+    apart = F.split("query_id", r"\|")
+    kind = queries.schema["query_id"].dataType
+    docs = docs.select("ranker", apart[0].alias("config"), apart[1].cast(kind).alias("query_id"), "doc_id", "rank")
+    rankers = F.explode(F.array(*[F.lit(r) for r in made]))
+    wanted = queries.select("query_id", F.explode(configs).alias("config")).withColumn("ranker", rankers)
+    scores = evaluation.query_scores(wanted, docs, tables.relevance(spark, sf_dir), per=["config", "ranker"])
+    return evaluation.macro_means(scores, per=["config", "ranker"])
+
+
+def _config_delta_sql() -> str:
+    sides = " UNION ALL ".join(f"SELECT * FROM {_config_sql(*c)}" for c in tables.CONFIGS)
+    sizes = " UNION ALL ".join(
+        f"SELECT '{s}/{o}' AS config, (SELECT count(*) FROM (" + D.with_(D.chunks(s, o)) + "SELECT doc_id FROM chunks)) AS n_chunks"
+        for s, o in tables.CONFIGS
+    )
+    (bs, bo), (os_, oo) = tables.CONFIGS
+    return f"WITH means AS ({sides}), sizes AS ({sizes}) " + " UNION ALL ".join(
+        f"""SELECT a.ranker, '{m}' AS measure, a.{m} AS base, b.{m} AS other, round(b.{m} - a.{m}, 6) AS delta,
+  x.n_chunks * 256 AS base_bytes, y.n_chunks * 256 AS other_bytes
+FROM means a JOIN means b ON a.ranker = b.ranker AND a.config = '{bs}/{bo}' AND b.config = '{os_}/{oo}'
+JOIN sizes x ON x.config = a.config JOIN sizes y ON y.config = b.config"""
+        for m in MEASURES
+    )
+
+
+@query("config_delta", _config_delta_sql())
+def config_delta(spark, sf_dir):
+    """What a change of the chunk size does to each ranker's measures, with the bytes of both indexes' vectors."""
+    means = _round_means(_config_means(spark, sf_dir))
+    base, other = (f"{size}/{overlap}" for size, overlap in tables.CONFIGS)
+    changes = evaluation.delta(means, "config", base, other, MEASURES, per=["ranker"])
+    bytes_ = tables.config_index(spark, sf_dir).groupBy("config").agg((F.sum(F.size("embedding")) * 4).alias("bytes"))
+    sizes = {n: bytes_.where(F.col("config") == c).select("bytes").scalar() for c, n in ((base, "base_bytes"), (other, "other_bytes"))}
+    return _rounded(changes, "delta").withColumns(sizes)
 
 
 CHUNK_EVAL = [

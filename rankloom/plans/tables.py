@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
 from rankloom.operators import postings
-from rankloom.operators.chunking import fixed_chunks
+from rankloom.operators.chunking import fixed_chunks, swept_chunks
 from rankloom.operators.encoding import embed
 from rankloom.operators.evaluation import passage_labels
 from rankloom.operators.lexical import term_weights
 from rankloom.scale import scratch_path, spread, through_table
 from rankloom.session import apply_settings
+from rankloom.sources.store import dealt_by
 
 CHUNK = (32, 8)
+#: Rows of a file of the chunk index.
+INDEX_FILE_ROWS = 200_000
+#: Chunk sizes that are compared with each other.
+CONFIGS = ((32, 8), (64, 16))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +58,14 @@ _BUILT: dict[tuple, tuple[tuple, DataFrame]] = {}
 
 
 def _version(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> tuple:
-    """Changes with the files of these tables: how many, and a digest of their paths, times and lengths."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{sf_dir}/{n}.parquet" for n in names])
-    digest = F.bit_xor(F.xxhash64("path", "modificationTime", "length"))  # the content itself isn't read
-    return tuple(files.agg(F.count(F.lit(1)), digest).first())
+    """Changes with the files of these tables: how many, how long, and when they or their folder were written; no job."""
+    context, found = spark.sparkContext, []
+    for name in names:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        held = files.getContentSummary(path)
+        found.append((held.getFileCount(), held.getLength(), files.getFileStatus(path).getModificationTime()))
+    return tuple(found)
 
 
 def _once(
@@ -79,13 +88,21 @@ def _once(
 
 
 def chunk_index(spark: SparkSession, sf_dir: str, size: int = CHUNK[0], overlap: int = CHUNK[1]) -> DataFrame:
-    """Chunks with terms and vectors, written once: rankers then read only their own columns."""
+    """Chunks with terms and vectors, written once, a folder for each topic: rankers read only their own columns, and
+    searches in some topics only these folders."""
 
     def build() -> DataFrame:
         chunks = fixed_chunks(documents(spark, sf_dir).select("doc_id", "topic", "text"), size, overlap)
         return embed(chunks).withColumn("terms", T.word_terms(F.col("text")))
 
-    return _once(spark, ("chunk-index", sf_dir, size, overlap), build)
+    return _once(spark, ("chunk-index", sf_dir, size, overlap), build, keep=_by_topic)
+
+
+def _by_topic(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, label)
+    dealt, _ = dealt_by(through_table(rows, f"{label}-unsorted"), ["topic"], INDEX_FILE_ROWS, ["doc_id"])
+    dealt.write.partitionBy("topic").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,14 +124,46 @@ def doc_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, ("doc-weights", sf_dir), lambda: term_weights(doc_index(spark, sf_dir)))
 
 
-def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings of whole documents, stored by bucket of the term."""
+def config_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks of all CONFIGS in one index, with their configuration as a column, from one pass over the text."""
+
+    def build() -> DataFrame:
+        chunks = swept_chunks(documents(spark, sf_dir).select("doc_id", "text"), CONFIGS)
+        return embed(chunks).withColumn("terms", T.word_terms(F.col("text")))
+
+    return _once(spark, ("config-index", sf_dir), build)
+
+
+def config_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, ("config-weights", sf_dir), lambda: term_weights(config_index(spark, sf_dir), ["config"]))
+
+
+def config_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["doc_id", "chunk_index"]
 
-    def keep(rows: DataFrame, label: str) -> DataFrame:
-        return postings.store(rows, ["doc_id"], scratch_path(spark, label))
+    def build() -> DataFrame:
+        return postings.postings(config_index(spark, sf_dir), keys, space="config")
+
+    return _once(spark, ("config-postings", sf_dir), build, keep=_as_postings)
+
+
+def _as_postings(rows: DataFrame, label: str) -> DataFrame:
+    return postings.store(rows, scratch_path(rows.sparkSession, label))
+
+
+def chunk_postings(spark: SparkSession, sf_dir: str, size: int = CHUNK[0], overlap: int = CHUNK[1]) -> DataFrame:
+    """Postings of chunks, stored by bucket of the term."""
 
+    def build() -> DataFrame:
+        return postings.postings(chunk_index(spark, sf_dir, size, overlap), ["doc_id", "chunk_index"])
+
+    return _once(spark, ("chunk-postings", sf_dir, size, overlap), build, keep=_as_postings)
+
+
+def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings of whole documents, stored by bucket of the term."""
     key = ("doc-postings", sf_dir)
-    return _once(spark, key, lambda: postings.postings(doc_index(spark, sf_dir), ["doc_id"]), keep=keep)
+    return _once(spark, key, lambda: postings.postings(doc_index(spark, sf_dir), ["doc_id"]), keep=_as_postings)
 
 
 def relevance(spark: SparkSession, sf_dir: str) -> DataFrame:

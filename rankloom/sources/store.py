@@ -10,8 +10,32 @@ from pyspark.sql import functions as F
 from rankloom.scale import broadcast_if_small, cut_lineage, union_all
 
 
+#: Rows of a file in a partitioned table, about.
+FILE_ROWS = 1_000_000
+
+
+def dealt_by(df: DataFrame, by: Sequence[str], file_rows: int = FILE_ROWS, salt: Sequence[str] = ()) -> tuple[DataFrame, list[tuple]]:
+    """(``df`` with the rows of each value of ``by`` together, a large one in several parts; the values).
+
+    Written with ``partitionBy`` it gives a few files for each value, not one for each task and value. The
+    values must be few: they are counted and named on the driver.
+    """
+    by = list(by)
+    counts = cut_lineage(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
+    parts = counts.select(*[F.col(c).alias(f"_{c}") for c in by], F.ceil(F.col("_n") / file_rows).cast("int").alias("_parts"))
+    total = parts.agg(F.sum("_parts")).first()[0]
+    if not total:
+        return df, []
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    spot = F.pmod(F.xxhash64(*(salt or [c for c in df.columns if c not in by])), F.col("_parts"))
+    placed = df.join(F.broadcast(parts), same).select(*df.columns, spot.alias("_part"))
+    return placed.repartition(total, *by, "_part").drop("_part"), [tuple(r)[: len(by)] for r in counts.collect()]
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh: all partitions are written in parallel and replace the old table."""
+    if partition_by:
+        df, _ = dealt_by(df, partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
