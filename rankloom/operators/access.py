@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.operators import topk
-from rankloom.scale import HOT_ROWS, skew_join
 
 
 def search_as_user(
@@ -66,21 +65,37 @@ def audit_events(ranking: DataFrame, queries: DataFrame, user_groups: DataFrame,
     )
 
 
-def as_of(left: DataFrame, snapshots: DataFrame, key: str, ts: str, snapshot_ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each left row with the latest snapshot of its key at or before ``ts``.
+def as_of(left: DataFrame, snapshots: DataFrame, key: str, ts: str, snapshot_ts: str, hours: int = 24) -> DataFrame:
+    """Each left row with the latest snapshot of its key at or before ``ts``; rows without one are left out.
 
-    Snapshots become validity intervals, so a row matches at most one of them and
-    nothing has to be ranked after the join. Hot keys on the left are split.
+    Rows and snapshots go through time together: inside a piece (a key's ``hours``) the last snapshot is carried to the
+    rows after it, and what a piece leaves behind, one row, is carried into later pieces. So a row meets one snapshot, however
+    many its key has, and a hot key is spread over its pieces.
     """
-    upcoming = F.lead(snapshot_ts).over(Window.partitionBy(key).orderBy(snapshot_ts))
-    spans = snapshots.withColumn("_until", upcoming)
-    joined = skew_join(left, spans, [key], hot_rows=hot_rows)
-    inside = (F.col(ts) >= F.col(snapshot_ts)) & (F.col("_until").isNull() | (F.col(ts) < F.col("_until")))
-    return joined.where(inside).drop("_until")
-
-
-def audit_mismatches(audit: DataFrame, snapshots: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    others = [c for c in snapshots.columns if c != key]
+    snapshot = F.struct(*others)
+    rows = left.select(
+        F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_kind"), F.struct(*left.columns).alias("_row"),
+        F.lit(None).cast(snapshots.select(snapshot.alias("s")).schema["s"].dataType).alias("_snapshot"),
+    )
+    changes = snapshots.select(
+        F.col(key).alias("_key"), F.col(snapshot_ts).alias("_at"), F.lit(0).alias("_kind"),
+        F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), snapshot.alias("_snapshot"),
+    )
+    both = rows.unionByName(changes).where(F.col("_key").isNotNull() & F.col("_at").isNotNull())
+    both = both.withColumn("_piece", F.floor(F.unix_micros(F.col("_at").cast("timestamp")) / (hours * 3_600_000_000)))
+    inside = Window.partitionBy("_key", "_piece").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("_last", F.last("_snapshot", ignorenulls=True).over(inside)).where(F.col("_kind") == 1)
+    # one row for each piece: what it leaves behind; before it, what earlier ones have left
+    left_behind = both.groupBy("_key", "_piece").agg(F.max_by("_snapshot", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_end"))
+    along = Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = left_behind.withColumn("_before", F.last("_end", ignorenulls=True).over(along)).select("_key", "_piece", "_before")
+    met = carried.join(before, ["_key", "_piece"]).withColumn("_met", F.coalesce("_last", "_before")).where(F.col("_met").isNotNull())
+    return met.select(F.col(f"_row.{key}").alias(key), *[F.col(f"_row.{c}") for c in left.columns if c != key], *[F.col(f"_met.{c}") for c in others])
+
+
+def audit_mismatches(audit: DataFrame, snapshots: DataFrame, hours: int = 24) -> DataFrame:
     """Returned documents whose groups at the time shared none with the user's."""
     returned = audit.select("event_id", "user_id", "ts", "user_acl_groups", F.explode("returned_doc_ids").alias("doc_id"))
-    replayed = as_of(returned, snapshots, "doc_id", "ts", "snapshot_ts", hot_rows)
+    replayed = as_of(returned, snapshots, "doc_id", "ts", "snapshot_ts", hours)
     return replayed.where(~F.arrays_overlap("acl_groups", "user_acl_groups"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
-from rankloom.scale import carried_sum
+from rankloom.scale import broadcast_if_small, carried_sum, through_table
 
 # fixed values: public list prices in dollars per million tokens
 EMBEDDING_MODELS = [("MiniLM-L6-v2", 384, 0.0), ("text-embedding-3-small", 1536, 0.02), ("text-embedding-3-large", 3072, 0.13)]
@@ -78,32 +78,76 @@ def rate_per_week(log: DataFrame, ts: str, topic: str, flag) -> DataFrame:
     )
 
 
-def exact_percentile(df: DataFrame, key: str, value: str, p: float, width: float) -> DataFrame:
+#: Size of the quantile sketches, and the rank error that 99 of 100 of them stay within.
+SKETCH_K, SKETCH_ERROR = 800, 0.005
+
+
+def sketches(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(*keys, sketch): a mergeable quantile sketch of the values, combined before the shuffle. Null values don't count."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(SKETCH_K)).alias("sketch"))
+
+
+def merged_sketches(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sketches of finer keys (a key's days, say) put together."""
+    return stored.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_percentile(merged: DataFrame, key: str, p: float) -> DataFrame:
+    return merged.select(key, F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias("percentile"))
+
+
+def rank_errors(df: DataFrame, estimates: DataFrame, key: str, value: str, p: float) -> DataFrame:
+    """(key, n, rank_error): how far the share of values up to the estimate is from ``p``, counted exactly.
+
+    Among equal values every rank that they span is right.
+    """
+    both = df.where(F.col(value).isNotNull()).join(broadcast_if_small(estimates), key)
+    at, below = F.count(F.when(F.col(value) <= F.col("percentile"), 1)), F.count(F.when(F.col(value) < F.col("percentile"), 1))
+    counted = both.groupBy(key).agg(F.count(F.lit(1)).alias("n"), at.alias("_at"), below.alias("_below"))
+    off = F.greatest(F.col("_below") / F.col("n") - p, p - F.col("_at") / F.col("n"), F.lit(0.0))
+    return counted.select(key, "n", off.alias("rank_error"))
+
+
+def exact_percentile(df: DataFrame, key: str, value: str, p: float) -> DataFrame:
     """Interpolated percentile per key, exact, without gathering a key's values.
 
-    Values are counted per (key, value), and value ranges of ``width`` carry
-    running totals, so each value knows the positions it covers and the two
-    wanted positions are picked by filter.
+    A sketch names a narrow range around the percentile. One pass counts each key's values below the range and,
+    by value, those inside it; the two wanted positions are picked there. A key whose positions lie outside
+    after all (sketches err, seldom) is counted over all its values.
     """
-    counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
-    placed = carried_sum(
-        counts.withColumn("_range", F.floor(F.col(value) / width)), key, "_range", [F.col(value)], F.col("_c").cast("double")
-    )
-    last = F.col("_before") + F.col("_local") - 1
-    spans = placed.select(key, F.col(value).alias("_v"), (last - F.col("_c") + 1).alias("_from"), last.alias("_to"))
-    wanted = counts.groupBy(key).agg(((F.sum("_c") - 1) * F.lit(p)).alias("_at"))
-    both = spans.join(wanted, key)
-    low, high = F.floor("_at"), F.ceil("_at")
-
-    def covers(position):
-        return (F.col("_from") <= position) & (F.col("_to") >= position)
-
-    ends = both.where(covers(low) | covers(high)).groupBy(key).agg(
-        F.max(F.when(covers(low), F.col("_v"))).alias("_lo"),
-        F.max(F.when(covers(high), F.col("_v"))).alias("_hi"),
-        F.max(F.col("_at") - low).alias("_part"),
-    )
-    return ends.select(key, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias("percentile"))
+    usable = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_v"))
+    made = through_table(sketches(usable, [key], "_v"), "sketches")
+    near = [F.kll_sketch_get_quantile_double("sketch", F.lit(min(1.0, max(0.0, p + e)))) for e in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)]
+    ranges = made.select(key, near[0].alias("_lo"), near[1].alias("_hi"))
+
+    def picked(ranges: DataFrame) -> DataFrame:
+        """(key, percentile), null where the range misses a position."""
+        placed = usable.join(broadcast_if_small(ranges), key)
+        level = F.when(F.col("_v") < F.col("_lo"), F.lit(None)).otherwise(F.col("_v"))
+        counts = placed.where(F.col("_v") <= F.col("_hi")).groupBy(key, level.alias("_at")).agg(F.count(F.lit(1)).alias("_c"))
+        counts = counts.join(made.select(key, F.kll_sketch_get_n_double("sketch").alias("_n")), key)
+        slice_ = F.coalesce(F.width_bucket("_at", "_lo", F.col("_hi") + 1e-300, F.lit(64)), F.lit(-1))
+        cut = counts.join(broadcast_if_small(ranges), key).withColumn("_slice", F.when(F.col("_at").isNull(), -1).otherwise(F.coalesce(slice_, F.lit(0))))
+        summed = carried_sum(cut.drop("_lo", "_hi"), key, "_slice", [F.col("_at")], F.col("_c").cast("double"))
+        last = F.col("_before") + F.col("_local") - 1
+        wanted = (F.col("_n") - 1) * F.lit(p)
+
+        def found(position: Column) -> Column:
+            here = F.col("_at").isNotNull() & (last - F.col("_c") + 1 <= position) & (last >= position)
+            return F.max(F.when(here, F.col("_at")))
+
+        ends = summed.groupBy(key).agg(
+            found(F.floor(wanted)).alias("_a"), found(F.ceil(wanted)).alias("_b"), F.max(wanted - F.floor(wanted)).alias("_part")
+        )
+        return ends.select(key, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("percentile"))
+
+    first = through_table(picked(ranges), "percentiles")
+    missed = ranges.join(first.where(F.col("percentile").isNull()).select(key), key, "left_semi")
+    right = first.where(F.col("percentile").isNotNull())
+    if missed.isEmpty():
+        return right
+    whole = missed.select(key, F.lit(float("-inf")).alias("_lo"), F.lit(float("inf")).alias("_hi"))
+    return right.unionByName(picked(whole))
 
 
 def approximate_percentile(df: DataFrame, key: str, value: str, p: float, accuracy: int = 10_000) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.scale import cut_lineage
+from rankloom.sources.versioned import VersionedTable
 
 def upsert(target: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """New rows replace old rows of the same key; write the result to a new path, then switch."""
@@ -37,6 +39,30 @@ def apply_changes(target: DataFrame, changes: DataFrame, build: Callable[[DataFr
     return kept.unionByName(fresh.select(*kept.columns))
 
 
+def upsert_into(table: VersionedTable, changes: DataFrame, key: Sequence[str], base: int | None = None) -> int:
+    """A new version in which new rows replace old rows of the same key; only their buckets are written."""
+    return table.rewrite(changes, lambda rows: upsert(rows, changes.select(*rows.columns), key), base)
+
+
+def apply_changes_to(
+    table: VersionedTable,
+    changes: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    base: int | None = None,
+    batch: int | None = None,
+    scope: Column | None = None,
+) -> int:
+    """``apply_changes`` on the buckets of the changed documents; ``scope`` names the rows of them that a change replaces."""
+    last = cut_lineage(latest_changes(changes))
+
+    def changed(rows: DataFrame) -> DataFrame:
+        if scope is None:
+            return apply_changes(rows, last, build)
+        return rows.where(~scope).unionByName(apply_changes(rows.where(scope), last, build))
+
+    return table.rewrite(last, changed, base, batch)
+
+
 def source_of_truth(versions: DataFrame, group: str, canonical: str, updated: str, key: str) -> DataFrame:
     """One version per group: canonical before others, then the most recent, then the lowest key."""
     best = F.max(F.struct(F.col(canonical), F.col(updated), (-F.col(key)).alias("_k"))).alias("_b")

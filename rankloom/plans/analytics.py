@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.operators import capacity, patterns
 from rankloom.plans import duck as D
 from rankloom.plans import tables
 from rankloom.plans.registry import query
+from rankloom.scale import through_table
 
 K = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
@@ -107,15 +109,31 @@ def feedback_rate(spark, sf_dir):
 def stage_latency_p99(spark, sf_dir):
     """Exact P99 per stage."""
     log = tables.events(spark, sf_dir).withColumn("stage", _k() % 5)
-    out = capacity.exact_percentile(log, "stage", "value", 0.99, 1.0)
+    out = capacity.exact_percentile(log, "stage", "value", 0.99)
     return out.withColumn("percentile", F.round("percentile", 6))
 
 
+def _daily_sketches(spark, sf_dir) -> DataFrame:
+    """Sketches of each stage and day, as they would be stored, one partition a day."""
+    log = tables.events(spark, sf_dir).withColumn("stage", _k() % 5).withColumn("day", F.to_date("ts"))
+    return through_table(capacity.sketches(log, ["stage", "day"], "value"), "daily-sketches")
+
+
 @query("stage_latency_p99_sketch")
 def stage_latency_p99_sketch(spark, sf_dir):
-    """P99 per stage from a mergeable sketch: the form for very large logs."""
+    """P99 per stage from the merged sketches of its days: the form for very large logs."""
+    return capacity.sketch_percentile(capacity.merged_sketches(_daily_sketches(spark, sf_dir), ["stage"]), "stage", 0.99)
+
+
+@query(
+    "stage_latency_sketch_error",
+    f"SELECT {K} % 5 AS stage, count(value) AS n, true AS within_bound FROM events GROUP BY 1 HAVING count(value) > 0",
+)
+def stage_latency_sketch_error(spark, sf_dir):
+    """The rank of each stage's sketched P99, counted exactly, stays within the sketch's bound."""
     log = tables.events(spark, sf_dir).withColumn("stage", _k() % 5)
-    return capacity.approximate_percentile(log, "stage", "value", 0.99)
+    errors = capacity.rank_errors(log, stage_latency_p99_sketch(spark, sf_dir), "stage", "value", 0.99)
+    return errors.select("stage", "n", (F.col("rank_error") <= capacity.SKETCH_ERROR).alias("within_bound"))
 
 
 KINDS = ("click", "error", "purchase", "signup", "view")
@@ -183,7 +201,11 @@ def running_totals(spark, sf_dir):
     """Cumulative order value per customer."""
     orders = tables.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     out = patterns.running_total(
-        orders, "o_custkey", F.trunc("o_orderdate", "month"), [F.col("o_orderdate"), F.col("o_orderkey")], "o_totalprice"
+        orders,
+        "o_custkey",
+        F.struct("o_orderdate", F.floor(F.col("o_orderkey") / 1_000_000).alias("slice")),  # so a busy day is cut as well
+        [F.col("o_orderkey")],
+        "o_totalprice",
     )
     return out.select("o_custkey", "o_orderkey", F.round("running_total", 2).alias("running_total"))
 

@@ -10,8 +10,8 @@ from rankloom.operators import access, chunking, encoding, lifecycle, ranking, t
 from rankloom.plans import duck as D
 from rankloom.plans import tables
 from rankloom.plans.registry import query
-from rankloom.scale import scratch_path
-from rankloom.sources import jsonl, store
+from rankloom.scale import scratch_path, through_table
+from rankloom.sources import jsonl, store, versioned
 
 SIZE, OVERLAP = tables.CHUNK
 STRATEGY = chunking.strategy_id("v1", "fixed", SIZE, OVERLAP, "hashed-64")
@@ -301,6 +301,22 @@ def token_functions(spark, sf_dir):
     )
 
 
+@query(
+    "blank_lines",
+    r"""SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) = '' AS blank, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines,
+  CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '\s+', '', 'g') = '')) AS BIGINT) AS n_blank_lines FROM documents""",
+)
+def blank_lines(spark, sf_dir):
+    """Blank documents, and the blank lines of each."""
+    lines = F.split("text", "\n", -1)
+    return _docs(spark, sf_dir).select(
+        "doc_id",
+        T.is_blank(F.col("text")).alias("blank"),
+        F.size(lines).cast("bigint").alias("n_lines"),
+        F.size(F.filter(lines, T.is_blank)).cast("bigint").alias("n_blank_lines"),
+    )
+
+
 @query(
     "event_properties",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '{"user":' || user_id || ',"kind":"' || event_type || '"}' AS line
@@ -358,14 +374,76 @@ def _merged_sql(docs: str) -> str:
     ),
 )
 def upsert_chunks(spark, sf_dir):
-    """French documents grow by a word; their chunks replace the stored ones by key."""
+    """French documents grow by a word; their chunks replace the stored ones by key, and only their buckets are written."""
+    table = _versioned_chunks(spark, sf_dir)
+    version = lifecycle.upsert_into(table, _revised_chunks(spark, sf_dir), CHUNK_KEY, base=0)
+    current = table.rows(version).where(F.col("chunk_strategy_id") == STRATEGY)
+    return _big(current.select("doc_id", "chunk_index", "chunk_id"), "chunk_index")
+
+
+CHUNK_KEY = ["doc_id", "chunk_strategy_id", "chunk_index"]
+OTHER_STRATEGY = chunking.strategy_id("v1", "fixed", 64, 16, "hashed-64")
+
+
+def _versioned_chunks(spark, sf_dir) -> versioned.VersionedTable:
+    """Chunks under two strategies in one table, in buckets of the document; version 0 stays as loaded."""
+
+    def build() -> DataFrame:
+        return _chunks(spark, sf_dir).unionByName(chunking.fixed_chunks(_docs(spark, sf_dir), 64, 16, strategy=OTHER_STRATEGY))
+
+    def keep(rows: DataFrame, label: str) -> versioned.VersionedTable:
+        return versioned.create(through_table(rows, f"{label}-chunks"), ["doc_id"], scratch_path(spark, f"{label}-versions"))
+
+    return tables._once(spark, ("versioned-chunks", sf_dir), build, keep=keep)
+
+
+def _revised_chunks(spark, sf_dir) -> DataFrame:
     docs = tables.documents(spark, sf_dir)
     revised = docs.where(F.col("lang") == "fr").withColumn("text", F.concat("text", F.lit(" revised")))
-    changes = chunking.fixed_chunks(revised.select("doc_id", "topic", "text"), SIZE, OVERLAP, strategy=STRATEGY)
-    merged = lifecycle.upsert(_chunks(spark, sf_dir), changes, ["doc_id", "chunk_index"])
-    path = scratch_path(spark, "chunk-version")
-    store.write_table(merged, path)
-    return _big(store.read_table(spark, path).select("doc_id", "chunk_index", "chunk_id"), "chunk_index")
+    return chunking.fixed_chunks(revised.select("doc_id", "topic", "text"), SIZE, OVERLAP, strategy=STRATEGY)
+
+
+@query(
+    "upsert_two_strategies",
+    D.with_(
+        """revised AS (SELECT doc_id, source, CASE WHEN lang = 'fr' THEN text || ' revised' ELSE text END AS text FROM documents)""",
+        D.chunks(name="small").replace("FROM documents", "FROM revised"),
+        D.chunks(64, 16, name="large"),
+    )
+    + f"""SELECT doc_id, '{STRATEGY}' AS chunk_strategy_id, CAST(chunk_index AS BIGINT) AS chunk_index, chunk_id FROM small
+UNION ALL SELECT doc_id, '{OTHER_STRATEGY}', CAST(chunk_index AS BIGINT), chunk_id FROM large""",
+)
+def upsert_two_strategies(spark, sf_dir):
+    """The same change where chunks of another size share the table: the strategy is part of the key, so they stay."""
+    table = _versioned_chunks(spark, sf_dir)
+    version = lifecycle.upsert_into(table, _revised_chunks(spark, sf_dir), CHUNK_KEY, base=0)
+    return _big(table.rows(version).select("doc_id", "chunk_strategy_id", "chunk_index", "chunk_id"), "chunk_index")
+
+
+@query(
+    "append_embeddings",
+    D.with_(
+        D.chunks(),
+        "languages AS (SELECT c.chunk_id, bool_and(d.lang = 'de') AS late FROM chunks c JOIN documents d USING (doc_id) GROUP BY 1)",
+    )
+    + """SELECT chunk_id, CAST(64 AS BIGINT) AS dim, CASE WHEN late THEN 1 ELSE 0 END AS run,
+  (SELECT count(*) FROM languages WHERE late) AS n_second, 0 AS n_third FROM languages""",
+)
+def append_embeddings(spark, sf_dir):
+    """Vectors of all but German texts are stored; a second run over all texts appends what is new, a third nothing."""
+    chunks = _chunks(spark, sf_dir)
+    german = tables.documents(spark, sf_dir).where(F.col("lang") == "de").select("doc_id")
+    vectors = encoding.embed(chunking.distinct_content(chunks)).select("chunk_id", "embedding")
+    vectors = through_table(vectors, "all-vectors")
+    first = chunks.join(german, "doc_id", "left_anti").select("chunk_id").distinct()
+    table = versioned.create(vectors.join(first, "chunk_id", "left_semi"), ["chunk_id"], scratch_path(spark, "vector-store"))
+    n_second = table.append_new(vectors, ["chunk_id"])
+    n_third = table.append_new(vectors, ["chunk_id"])
+    before = table.rows(0).select("chunk_id", F.lit(0).alias("run"))
+    rows = table.rows().join(before, "chunk_id", "left").withColumn("run", F.coalesce("run", F.lit(1)))
+    return rows.select(
+        "chunk_id", F.size("embedding").cast("bigint").alias("dim"), "run", F.lit(n_second).cast("bigint").alias("n_second"), F.lit(n_third).alias("n_third")
+    )
 
 
 CHANGED_DOCS = """SELECT doc_id, source, CASE WHEN lang = 'es' THEN text || ' revised' ELSE text END AS text
@@ -389,7 +467,10 @@ def apply_change_feed(spark, sf_dir):
         return chunking.fixed_chunks(docs, SIZE, OVERLAP, strategy=STRATEGY)
 
     feed = change_feed(tables.documents(spark, sf_dir))
-    merged = lifecycle.apply_changes(_chunks(spark, sf_dir), feed, build)
+    table = _versioned_chunks(spark, sf_dir)
+    # chunks of the other strategy are not what this feed speaks of
+    version = lifecycle.apply_changes_to(table, feed, build, base=0, scope=F.col("chunk_strategy_id") == STRATEGY)
+    merged = table.rows(version).where(F.col("chunk_strategy_id") == STRATEGY)
     return _big(merged.select("doc_id", "chunk_index", "chunk_id"), "chunk_index")
 
 

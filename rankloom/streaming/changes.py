@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.operators.chunking import distinct_content
-from rankloom.operators.lifecycle import latest_changes
+from rankloom.operators.lifecycle import apply_changes_to, latest_changes
 from rankloom.scale import broadcast_if_small, cut_lineage
+from rankloom.sources.versioned import VersionedTable
 
 Build = Callable[[DataFrame], DataFrame]
 
@@ -35,6 +36,20 @@ def append_changes(build: Build, path: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
+def apply_batches(table: VersionedTable, build: Build) -> Callable[[DataFrame, int], None]:
+    """Handler that applies each change batch (doc_id, op, seq, ...) to a versioned table of chunks.
+
+    A batch makes one version and writes only the buckets of its documents; readers need no merge. The version
+    remembers the batch, so a repeated batch changes nothing. A document's changes must come in the order of ``seq``.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch_id > table.last_batch():
+            apply_changes_to(table, batch, build, batch=batch_id)
+
+    return handle
+
+
 def current_chunks(spark: SparkSession, path: str) -> DataFrame:
     """The chunk table the log stands for: rows of each document's highest seq, markers left out."""
     log = spark.read.parquet(path)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from rankloom import scale
 from rankloom.operators import access, capacity, chunking, lifecycle, patterns, topk
 from rankloom.plans import tables
-from rankloom.sources import jsonl, store
+from rankloom.sources import jsonl, store, versioned
+from rankloom.streaming import changes
 
 
 # ------------------------------------------------------------------------------ scale
@@ -149,7 +150,7 @@ def test_audit_uses_the_snapshot_in_force(spark, rows):
         "doc_id bigint, snapshot_ts timestamp, acl_groups array<string>",
     )
     plain = access.audit_mismatches(audit, snapshots)
-    split = access.audit_mismatches(audit, snapshots, hot_rows=3)
+    split = access.audit_mismatches(audit, snapshots, hours=1)
     assert plain.count() == 10
     assert rows(plain, "event_id", "ts") == rows(split, "event_id", "ts")
 
@@ -200,7 +201,7 @@ def test_percentile_equals_numpy(spark):
 
     rng = random.Random(6)
     data = [(u, i, rng.choice([rng.gauss(50, 20), 7.0])) for u in (1, 2) for i in range(333)] + [(3, 0, 4.0)]
-    got = capacity.exact_percentile(event_frame(spark, data), "user_id", "value", 0.99, 5.0).collect()
+    got = capacity.exact_percentile(event_frame(spark, data), "user_id", "value", 0.99).collect()
     for row in got:
         assert row.percentile == pytest.approx(np.percentile([v for u, _, v in data if u == row.user_id], 99))
     assert len(got) == 3
@@ -225,3 +226,82 @@ def test_rolling_active_and_islands(spark, rows):
     assert active == [1, 2, 2, 2]
     runs = patterns.islands(frame.select("user_id", F.to_date("ts").alias("day")), "user_id", "day")
     assert rows(runs, "user_id", "n_days") == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_a_row_meets_one_snapshot_however_many_there_are(spark):
+    """2,000 snapshots of one document and rows before, between, at and after them."""
+    start = dt.datetime(2024, 1, 1)
+    snaps = [(7, start + dt.timedelta(hours=3 * i), i) for i in range(2000)] + [(8, start, -1)]
+    left = [(i, key, start + dt.timedelta(minutes=47 * i - 600)) for i in range(400) for key in (7, 8, 9)]
+    rows_ = spark.createDataFrame(left, "row bigint, key bigint, ts timestamp")
+    snapshots = spark.createDataFrame(snaps, "key bigint, at timestamp, value bigint")
+    for hours in (1, 24, 10_000):
+        joined = access.as_of(rows_, snapshots, "key", "ts", "at", hours)
+        got = {(r.row, r.key): (r.at, r.value) for r in joined.collect()}
+        want = {}
+        for row, key, ts in left:
+            before = [(at, value) for k, at, value in snaps if k == key and at <= ts]
+            if before:
+                want[row, key] = max(before)
+        assert got == want and joined.count() == len(want)
+
+
+def test_versions_are_kept_and_untouched_buckets_are_not_written_again(spark, tmp_path):
+    rows_ = [(i, s, 0, f"text {i} {s}") for i in range(200) for s in ("a", "b")]
+    frame = spark.createDataFrame(rows_, "doc_id bigint, strategy string, part int, text string")
+    table = versioned.create(frame, ["doc_id"], str(tmp_path / "t"), buckets=16)
+    first = table.rows()
+    change = spark.createDataFrame([(3, "a", 0, "new"), (500, "a", 0, "more")], frame.schema)
+    version = lifecycle.upsert_into(table, change, ["doc_id", "strategy", "part"])
+    assert version == 1 and table.latest() == 1
+    old, new = dict(table.manifest(0)), dict(table.manifest(1))
+    touched = set(table.touched_by(change))
+    assert len(touched) == 2 and {b for b in new if old.get(b) != new[b]} == touched
+    want = {(d, s): t for d, s, _, t in rows_}
+    assert {(r.doc_id, r.strategy): r.text for r in first.collect()} == want  # a reader keeps its version
+    assert {(r.doc_id, r.strategy): r.text for r in table.rows(1).collect()} == {**want, (3, "a"): "new", (500, "a"): "more"}
+    reopened = versioned.open_table(spark, str(tmp_path / "t"))
+    assert reopened.buckets == 16 and reopened.rows().count() == 401 and reopened.rows(0).count() == 400
+    assert table.append_new(spark.createDataFrame([(3, "a", 0, "no"), (900, "a", 0, "yes")], frame.schema), ["doc_id", "strategy", "part"]) == 1
+    assert table.append_new(spark.createDataFrame([(900, "a", 0, "again")], frame.schema), ["doc_id", "strategy", "part"]) == 0
+    assert table.latest() == 2 and table.rows().count() == 402
+
+
+def test_change_batches_make_versions_once(spark, tmp_path):
+    def build(docs):
+        return chunking.fixed_chunks(docs, 2, 0)
+
+    schema = "doc_id bigint, text string, op string, seq bigint"
+    empty = build(spark.createDataFrame([], "doc_id bigint, text string"))
+    table = versioned.create(empty, ["doc_id"], str(tmp_path / "t"), buckets=4)
+    handle = changes.apply_batches(table, build)
+    batches = [
+        [(1, "a b c d e", "insert", 1), (2, "x y", "insert", 1), (3, "z", "insert", 1)],
+        [(1, "short", "update", 2), (2, "x", "delete", 2)],
+        [(2, "back again now", "insert", 3)],
+    ]
+    for i, batch in enumerate(batches):
+        handle(spark.createDataFrame(batch, schema), i)
+    handle(spark.createDataFrame(batches[1], schema), 1)  # a repeated batch changes nothing
+    got = sorted((r.doc_id, r.chunk_index, r.text) for r in table.rows().collect())
+    assert got == [(1, 0, "short"), (2, 0, "back again"), (2, 1, "now"), (3, 0, "z")] and table.latest() == 3
+
+
+def test_sketched_percentiles_and_their_repair(spark, monkeypatch):
+    rng = random.Random(1)
+    data = [(i, 1, 0.0, rng.choice([rng.random(), 5.0, -3.0, 1e9])) for i in range(3000)] + [(9000 + i, 2, 0.0, float(i)) for i in range(3)]
+    frame = spark.createDataFrame([(u, v) for _, u, _, v in data] + [(3, None)], "user_id bigint, value double")
+    for p in (0.0, 0.25, 0.99, 1.0):
+        want = {}
+        for user in (1, 2):
+            values = sorted(v for _, u, _, v in data if u == user)
+            at = (len(values) - 1) * p
+            low = values[int(at)]
+            want[user] = low + (values[min(int(at) + 1, len(values) - 1)] - low) * (at - int(at))
+        for error in (capacity.SKETCH_ERROR, 0.0):  # ranges too narrow: positions outside them are counted over all values
+            monkeypatch.setattr(capacity, "SKETCH_ERROR", error)
+            got = {r.user_id: r.percentile for r in capacity.exact_percentile(frame, "user_id", "value", p).collect()}
+            assert got == pytest.approx(want)
+    merged = capacity.merged_sketches(capacity.sketches(frame.withColumn("day", F.col("value") % 5), ["user_id", "day"], "value"), ["user_id"])
+    errors = capacity.rank_errors(frame, capacity.sketch_percentile(merged, "user_id", 0.9), "user_id", "value", 0.9)
+    assert all(r.rank_error <= 0.005 for r in errors.collect())
