@@ -15,10 +15,10 @@ from rankloom.plans import duck as D
 from rankloom.plans import tables
 from rankloom.plans.registry import query
 from rankloom.plans.upkeep import CHANGED_DOCS, OVERLAP, SIZE, change_feed
-from rankloom.scale import scratch_path
+from rankloom.scale import cut_lineage, scratch_path
 from rankloom.session import apply_settings
-from rankloom.sources import store
-from rankloom.streaming import changes, freshness, run, state, windows
+from rankloom.sources import store, versioned
+from rankloom.streaming import alarms, changes, freshness, late, run, windows
 
 
 def _stream(spark, sf_dir, name: str) -> DataFrame:
@@ -92,13 +92,40 @@ def stream_sessions(spark, sf_dir):
     return _plain(_closed(spark, sf_dir, "sessions", build, _event_stream(spark, sf_dir)), "started", "ended")
 
 
+STAGES = 6
+#: Stages as SQL: spans of equal length of the events' time.
+STAGE_SQL = f"""span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+staged AS (SELECT e.*, CAST((epoch_us(ts) - lo) * {STAGES} // (hi - lo + 1) AS INTEGER) AS on_time FROM events e, span)"""
+
+
+def _staged(spark, sf_dir) -> tuple[DataFrame, int]:
+    """(events with ``on_time``, the stage in which they arrive if nothing holds them up; seconds of a stage)."""
+    events = tables.events(spark, sf_dir)
+    lo, hi = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    lo, hi = (lo, hi) if lo is not None else (0, 0)
+    stage = F.expr(f"cast((unix_micros(ts) - {lo}) * {STAGES} div {hi - lo + 1} as int)")
+    return events.withColumn("on_time", stage), (hi - lo) // STAGES // 1_000_000 + 1
+
+
 @query("stream_deduplicated", "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY event_type")
 def stream_deduplicated(spark, sf_dir):
-    """Every event arrives twice; idempotency keys keep one."""
-    events = windows.timely(_event_stream(spark, sf_dir))
-    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    kept = windows.once(twice).select("event_id", "event_type")
-    return _drained(spark, kept, "dedup").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    """Every event arrives twice, the second time with its own batch or with a later one; idempotency keys keep one."""
+    events, seconds = _staged(spark, sf_dir)
+    later = F.least(F.col("on_time") + F.pmod("event_id", F.lit(2)).cast("int"), F.lit(STAGES - 1))
+    copies = F.explode(F.array(F.col("on_time"), later))
+    twice = events.withColumn("arrives", copies).select("event_id", "event_type", "ts", "arrives")
+
+    def build(rows: DataFrame) -> DataFrame:  # keys are kept for longer than a copy can be late
+        return windows.once(windows.timely(rows, late=f"{2 * seconds} seconds")).select("event_id", "event_type")
+
+    kept = run.drain_in_stages(build, twice, F.col("arrives"), STAGES, "dedup", close=False)
+    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sides(rows: DataFrame) -> list[DataFrame]:
+    """Clicks and purchases with a watermark that both see; the closing row, which is neither, stays."""
+    timely = windows.timely(rows)
+    return [timely.where((F.col("event_type") == kind) | F.col("event_type").isNull()) for kind in ("click", "purchase")]
 
 
 @query(
@@ -108,36 +135,116 @@ p AS (SELECT user_id, ts FROM events WHERE event_type = 'purchase')
 SELECT DISTINCT c.user_id FROM c JOIN p ON c.user_id = p.user_id AND c.ts BETWEEN p.ts - INTERVAL 5 MINUTES AND p.ts + INTERVAL 5 MINUTES""",
 )
 def stream_close_pairs(spark, sf_dir):
-    """Users with a click and a purchase within five minutes, from two streams.
+    """Users with a click and a purchase within five minutes, from two streams in several batches."""
+    events, _ = _staged(spark, sf_dir)
+
+    def build(rows: DataFrame) -> DataFrame:
+        return windows.with_company(*_sides(rows), "user_id", 300).select("user_id")
 
-    Pairs in slots that the streams leave open come from the stored rows since then.
-    """
+    found = run.drain_in_stages(build, events, F.col("on_time"), STAGES, "pairs", close=False)
+    return found.where(F.col("user_id").isNotNull()).distinct()
 
-    def kinds(events: DataFrame) -> list[DataFrame]:
-        return [events.where(F.col("event_type") == kind) for kind in ("click", "purchase")]
 
-    clicks, purchases = kinds(_event_stream(spark, sf_dir))
-    pairs = _drained(spark, windows.close_pairs(windows.timely(clicks), windows.timely(purchases), "user_id", 300), "pairs")
-    stored = tables.events(spark, sf_dir)
-    newest = stored.where(F.col("event_type").isin("click", "purchase")).groupBy("event_type").agg(F.max("ts").alias("ts"))
-    # the slower stream sets the watermark; a pair spans two slots of five minutes
-    since = newest.agg((F.min("ts") - F.expr(f"INTERVAL {windows.LATE}") - F.expr("INTERVAL 10 MINUTES")).alias("ts")).scalar()
-    still_open = windows.close_pairs(*kinds(stored.where(F.col("ts") >= since)), "user_id", 300)
-    return pairs.select("user_id").unionByName(still_open.select("user_id")).distinct()
+@query(
+    "stream_lone_clicks",
+    """SELECT event_id, user_id, ts FROM events c WHERE event_type = 'click' AND user_id IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM events p WHERE p.event_type = 'purchase' AND p.user_id = c.user_id
+  AND c.ts BETWEEN p.ts - INTERVAL 5 MINUTES AND p.ts + INTERVAL 5 MINUTES)""",
+)
+def stream_lone_clicks(spark, sf_dir):
+    """Clicks that no purchase of the user comes near: an outer join of two streams, finished by the closing row."""
+    events, _ = _staged(spark, sf_dir)
+
+    def build(rows: DataFrame) -> DataFrame:
+        return windows.without_company(*_sides(rows), "user_id", 300).select("event_id", "user_id", "ts")
+
+    found = run.drain_in_stages(build, events, F.col("on_time"), STAGES, "lone-clicks")
+    return _plain(found.where(F.col("user_id").isNotNull()), "ts")
+
+
+@query(
+    "stream_silent_users",
+    """WITH e AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS following FROM events WHERE user_id IS NOT NULL)
+SELECT user_id, ts AS last_seen, ts + INTERVAL 6 HOURS AS alarmed_at FROM e WHERE following IS NULL OR following - ts > INTERVAL 6 HOURS""",
+)
+def stream_silent_users(spark, sf_dir):
+    """An alarm for each user who stays away for six hours: state with timers, over several batches."""
+    events, _ = _staged(spark, sf_dir)
+    name, store_class = alarms.STORE
+    before = spark.conf.get(name)
+    spark.conf.set(name, store_class)
+    try:
+        rows = events.select("user_id", "ts", "on_time")
+        found = run.drain_in_stages(lambda r: alarms.silent_keys(r, "user_id", 6 * 3600), rows, F.col("on_time"), STAGES, "silent")
+    finally:
+        spark.conf.set(name, before)
+    return _plain(found, "last_seen", "alarmed_at")
+
+
+#: One event in forty arrives two stages late, if there are two more.
+HELD_UP = "event_id % 40 = 7 AND on_time + 2 < {stages}"
+
+
+def _arrivals(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Events stored as they arrive, late ones apart: (folder, rows)."""
+    events, _ = _staged(spark, sf_dir)
+    held_up = F.expr(HELD_UP.format(stages=STAGES))
+    rows = events.withColumn("arrives", F.col("on_time") + F.when(held_up, 2).otherwise(0)).select("event_id", "event_type", "ts", "arrives")
+    path = scratch_path(spark, "arrivals")
+    run.feed_in_stages(rows, F.col("arrives"), STAGES, late.split_late(path), "arrivals")
+    return path, late.stored_rows(spark, path)
+
+
+ARRIVALS_SQL = f"""{STAGE_SQL},
+arrived AS (SELECT event_id, event_type, ts, on_time + CASE WHEN {HELD_UP.format(stages=STAGES)} THEN 2 ELSE 0 END AS arrives FROM staged),
+newest AS (SELECT arrives, max(max(ts)) OVER (ORDER BY arrives ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+           FROM arrived GROUP BY arrives),
+late AS (SELECT a.* FROM arrived a JOIN newest USING (arrives) WHERE a.ts < before - INTERVAL 2 HOURS)"""
+
+
+@query("stream_late_rows", f"WITH {ARRIVALS_SQL} SELECT event_id, arrives, ts FROM late")
+def stream_late_rows(spark, sf_dir):
+    """Rows that come behind the watermark, caught instead of dropped."""
+    _, rows = _arrivals(spark, sf_dir)
+    return _plain(rows.where("late").select("event_id", "arrives", "ts"), "ts")
+
+
+@query(
+    "stream_late_days",
+    f"""WITH {ARRIVALS_SQL}
+SELECT CAST(ts AS DATE) AS day, date_trunc('hour', ts) AS started, event_type, count(*) AS n,
+  CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM late) AS reprocessed FROM events GROUP BY ALL""",
+)
+def stream_late_days(spark, sf_dir):
+    """Hourly counts of timely rows; days that late rows belong to are counted again: together all rows, each once."""
+    _, rows = _arrivals(spark, sf_dir)
+    table = scratch_path(spark, "hourly-timely")
+
+    def hourly(some: DataFrame) -> DataFrame:
+        return windows.tumbling(some, ["event_type"], "1 hour").withColumn("day", F.to_date("started"))
+
+    windows.reprocess_days(hourly(rows.where("not late")), lambda counted: counted, table)
+    days = cut_lineage(late.days_to_reprocess(rows))
+    again = rows.withColumn("day", F.to_date("ts")).join(F.broadcast(days.select("day")), "day", "left_semi")  # one row a day
+    windows.reprocess_days(again.drop("day"), hourly, table)
+    counted = spark.read.parquet(table).join(days, "day", "left")
+    return _plain(counted, "started").select("day", "started", "event_type", "n", F.col("n_late").isNotNull().alias("reprocessed"))
 
 
 @query("stream_running_totals", "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY user_id")
 def stream_running_totals(spark, sf_dir):
-    """Running totals per user in stream state."""
-    emitted = state.running_totals(_event_stream(spark, sf_dir))
+    """Running totals per user: a plain aggregation in update mode, combined before the shuffle of each batch."""
+    events = _event_stream(spark, sf_dir)
+    emitted = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     path = scratch_path(spark, "totals")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     run.drain_batches(emitted, keep, "totals", mode="update")
-    totals = state.latest_totals(spark.read.parquet(path))
-    return totals.withColumn("total", F.round("total", 2))
+    # a user's row of the last batch that had one
+    last = spark.read.parquet(path).groupBy("user_id").agg(F.max_by(F.struct("n", "total"), "batch_id").alias("t"))
+    return last.select("user_id", "t.n", F.round("t.total", 2).alias("total"))
 
 
 @query(
@@ -252,6 +359,20 @@ def stream_ingest(spark, sf_dir):
 )
 def stream_change_feed(spark, sf_dir):
     """Inserts, updates and deletes arriving as a stream, read as the current chunk table."""
+    docs = _doc_stream(spark, sf_dir)
+    empty = _build(spark.createDataFrame([], docs.schema).select("doc_id", "topic", "text"))
+    table = versioned.create(empty, ["doc_id"], scratch_path(spark, "chunk-versions"))
+    run.drain_batches(change_feed(docs), changes.apply_batches(table, _build), "change-feed")
+    return table.rows().select("doc_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), "chunk_id")
+
+
+@query(
+    "stream_change_log",
+    D.with_(f"source_docs AS ({CHANGED_DOCS})", D.chunks().replace("FROM documents", "FROM source_docs"))
+    + "SELECT doc_id, CAST(chunk_index AS BIGINT) AS chunk_index, chunk_id FROM chunks",
+)
+def stream_change_log(spark, sf_dir):
+    """The same feed kept as an append-only log, merged when it is read."""
     path = scratch_path(spark, "chunk-log")
     feed = change_feed(_doc_stream(spark, sf_dir))
     run.drain_batches(feed, changes.append_changes(_build, path), "change-feed")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.scale import scratch_path
@@ -52,7 +52,7 @@ def drain_and_close(
     ``build`` takes the stream, sets its watermark and counts by windows; ``newest`` has one row, the newest ``ts``.
     When all is processed, one row comes ``QUIET`` later, null but for its time. It moves the watermark past all
     other rows; its own window never closes, so it isn't in the result. Returns the finished rows. An empty
-    stream gives none. Not for joins of streams: in trials pairs finished by the closing row were missing.
+    stream gives none. A filter in ``build`` must let the closing row through: Spark moves it below the watermark.
     """
     spark, end = stream.sparkSession, scratch_path(stream.sparkSession, f"{label}-end")
     spark.createDataFrame([], stream.schema).write.parquet(end)
@@ -66,6 +66,36 @@ def drain_and_close(
     return spark.read.schema(out.schema).parquet(path)
 
 
+def drain_in_stages(
+    build: Callable[[DataFrame], DataFrame], rows: DataFrame, stage: Column, n: int, label: str, ts: str = "ts", close: bool = True
+) -> DataFrame:
+    """Let a table arrive in ``n`` stages, each processed as one batch with the state of those before, and close it.
+
+    ``stage`` numbers the rows 0 to n - 1. ``build`` takes the stream and sets its watermark. The closing row (see
+    ``drain_and_close``) has only a time: filters in ``build`` must let a row through whose other columns are null, since
+    Spark moves filters (also those that a join on a nullable key implies) below the watermark, which otherwise never sees it.
+    """
+    spark = rows.sparkSession
+    arrived, state, path = (scratch_path(spark, f"{label}-{part}") for part in ("arrived", "state", "out"))
+    out = None
+
+    def drained() -> None:
+        nonlocal out
+        out = build(spark.readStream.schema(rows.schema).parquet(arrived))
+        drain_to_table(out, label, state, path)
+
+    for i in range(n):
+        rows.where(stage == i).write.mode("append").parquet(arrived)
+        drained()
+    newest = rows.agg(F.max(ts).alias(ts)).where(F.col(ts).isNotNull()) if close else None
+    if newest is not None:
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != ts]
+        last = newest.select((F.col(ts) + F.expr(f"INTERVAL {QUIET}")).alias(ts), *empty)
+        last.select(*rows.columns).write.mode("append").parquet(arrived)
+        drained()
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def drain_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], label: str, mode: str = "append", checkpoint: str | None = None
 ) -> None:
@@ -78,3 +108,12 @@ def drain_batches(
         .start()
         .awaitTermination()
     )
+
+
+def feed_in_stages(rows: DataFrame, stage: Column, n: int, handle: Callable[[DataFrame, int], None], label: str) -> None:
+    """Let a table arrive in ``n`` stages, each going through ``handle(batch, batch_id)`` as one batch."""
+    spark = rows.sparkSession
+    arrived, state = scratch_path(spark, f"{label}-arrived"), scratch_path(spark, f"{label}-state")
+    for i in range(n):
+        rows.where(stage == i).write.mode("append").parquet(arrived)
+        drain_batches(spark.readStream.schema(rows.schema).parquet(arrived), handle, label, checkpoint=state)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LATE = "2 hours"
@@ -66,6 +66,35 @@ def close_pairs(first: DataFrame, second: DataFrame, key: str, seconds: int, ts:
     return a.join(b, near).select(F.col("a_key").alias(key), "a_at", "b_at")
 
 
+def _beside(first: DataFrame, second: DataFrame, key: str, seconds: int, ts: str, how: str) -> DataFrame:
+    """``first`` joined to the rows of ``second`` with its key at most ``seconds`` away.
+
+    The key is compared inside a struct, which is never null: a test for null on the key itself would be moved below the
+    watermarks, and a row that has only a time could not move them.
+    """
+    held = F.struct(F.col(key).alias("key"))
+    span = F.expr(f"INTERVAL {seconds} SECONDS")
+    other = second.select(held.alias("_key"), F.col(ts).alias("_at"))
+    near = (F.col("_own") == F.col("_key")) & (F.col(ts) >= F.col("_at") - span) & (F.col(ts) <= F.col("_at") + span)
+    return first.withColumn("_own", held).join(other, near, how)
+
+
+def with_company(first: DataFrame, second: DataFrame, key: str, seconds: int, ts: str = "ts") -> DataFrame:
+    """Rows of the first stream that have a row of the second with their key at most ``seconds`` away.
+
+    A half join: each row comes out once, as soon as both have arrived, and pairs are never formed.
+    State is kept only as long as the watermarks allow a partner. Both sides need a watermark. Null keys
+    count as equal; drop such rows from what the stream has written, not from the stream.
+    """
+    return _beside(first, second, key, seconds, ts, "left_semi").drop("_own")
+
+
+def without_company(first: DataFrame, second: DataFrame, key: str, seconds: int, ts: str = "ts") -> DataFrame:
+    """Rows of the first stream that no row of the second comes near, once the watermarks exclude one. Null keys: see above."""
+    joined = _beside(first, second, key, seconds, ts, "left_outer")
+    return joined.where(F.col("_key").isNull()).drop("_own", "_key", "_at")
+
+
 def reprocess_days(raw: DataFrame, build, path: str, day: str = "day") -> None:
     """Nightly job: rebuild the days in ``raw`` from all their rows, late ones included,
     replacing just those day partitions. Running it again gives the same table."""
