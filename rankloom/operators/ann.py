@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,13 +145,16 @@ def recall_against(approximate: DataFrame, exact: DataFrame, keys: Sequence[str]
     ).withColumn("recall", F.col("n_found") / F.col("n_exact"))
 
 
-def _label_components(vectors: DataFrame, label: str, column: str) -> DataFrame:
-    """(label, component, sum, sum of squares, count) over unit vectors; zero vectors take no part."""
+def _label_sums(vectors: DataFrame, label: str, column: str) -> DataFrame:
+    """(label, _s, _q, _n): sum of the unit vectors, sum of their squared lengths, count; zero vectors take no part.
+
+    One aggregate per label, combined before the shuffle: a row is never split into its components.
+    """
     usable = vectors.where(V.norm(F.col(column)) > 0)
-    parts = usable.select(label, F.posexplode(V.normalised(F.col(column))).alias("_i", "_x"))
-    return parts.groupBy(label, "_i").agg(
-        F.sum("_x").alias("_s"), F.sum(F.col("_x") * F.col("_x")).alias("_q"), F.count(F.lit(1)).alias("_n")
-    )
+    unit = array_to_vector(V.normalised(F.col(column)))
+    made = usable.select(label, unit.alias("_v")).groupBy(label).agg(Summarizer.metrics("sum", "normL2", "count").summary(F.col("_v")).alias("_m"))
+    squares = F.aggregate(vector_to_array("_m.normL2"), F.lit(0.0), lambda acc, x: acc + x * x)
+    return made.select(label, vector_to_array("_m.sum").alias("_s"), squares.alias("_q"), F.col("_m.count").alias("_n"))
 
 
 def label_similarity(vectors: DataFrame, label: str = "label", column: str = "embedding") -> DataFrame:
@@ -158,23 +162,14 @@ def label_similarity(vectors: DataFrame, label: str = "label", column: str = "em
 
     Means of pairs follow from sums of unit vectors: across labels (A.B)/(na nb),
     within one (|A|^2 - sum of |a|^2) / (n (n-1)). Only the summed vectors, one per
-    label, meet each other, component by component.
+    label, meet each other; the result has a row for each pair of labels.
     """
-    sums = through_table(_label_components(vectors, label, column), "label-sums")
-    a = sums.select(F.col(label).alias("label_a"), "_i", F.col("_s").alias("_sa"), F.col("_n").alias("n_a"), "_q")
-    b = sums.select(F.col(label).alias("label_b"), "_i", F.col("_s").alias("_sb"), F.col("_n").alias("n_b"))
+    sums = through_table(_label_sums(vectors, label, column), "label-sums")
+    a = sums.select(F.col(label).alias("label_a"), F.col("_s").alias("_sa"), F.col("_n").alias("_na"), F.col("_q").alias("_self"))
+    b = sums.select(F.col(label).alias("label_b"), F.col("_s").alias("_sb"), F.col("_n").alias("_nb"))
+    b = broadcast_if_small(b)
     same = F.col("label_a") == F.col("label_b")
-    products = (
-        a.join(b, "_i")
-        .where(F.col("label_a") <= F.col("label_b"))
-        .groupBy("label_a", "label_b")
-        .agg(
-            F.sum(F.col("_sa") * F.col("_sb")).alias("_dot"),
-            F.sum("_q").alias("_self"),
-            F.max("n_a").alias("_na"),
-            F.max("n_b").alias("_nb"),
-        )
-    )
+    products = a.join(b, F.col("label_a") <= F.col("label_b")).withColumn("_dot", V.dot(F.col("_sa"), F.col("_sb")))
     pairs = F.when(same, F.col("_na") * (F.col("_na") - 1) / 2).otherwise(F.col("_na") * F.col("_nb"))
     total = F.when(same, (F.col("_dot") - F.col("_self")) / 2).otherwise(F.col("_dot"))
     return products.select(
@@ -191,15 +186,16 @@ def cluster_separation(vectors: DataFrame, label: str = "label", column: str = "
     Pairs within labels and pairs of all rows both follow from sums, so labels are
     never paired and their number does not matter.
     """
-    sums = _label_components(vectors, label, column)
-    square = F.col("_s") * F.col("_s")
-    by_label = sums.groupBy(label).agg(F.sum(square - F.col("_q")).alias("_t"), F.max("_n").alias("_n"))
+    sums = through_table(_label_sums(vectors, label, column), "label-sums")
+    by_label = sums.select((V.dot(F.col("_s"), F.col("_s")) - F.col("_q")).alias("_t"), "_n")
     within = by_label.agg(
         (F.sum("_t") / 2).alias("_in"), F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("_in_pairs")
     )
-    overall = sums.groupBy("_i").agg(F.sum("_s").alias("_s"), F.sum("_q").alias("_q"), F.sum("_n").alias("_n"))
-    total = overall.agg(
-        (F.sum(square - F.col("_q")) / 2).alias("_all"), F.max(F.col("_n") * (F.col("_n") - 1) / 2).alias("_all_pairs")
+    whole = sums.agg(
+        Summarizer.sum(array_to_vector("_s")).alias("_s"), F.sum("_q").alias("_q"), F.sum("_n").cast("double").alias("_n")
+    ).select(vector_to_array("_s").alias("_s"), "_q", "_n")
+    total = whole.select(
+        ((V.dot(F.col("_s"), F.col("_s")) - F.col("_q")) / 2).alias("_all"), (F.col("_n") * (F.col("_n") - 1) / 2).alias("_all_pairs")
     )
     intra = F.col("_in") / F.nullif(F.col("_in_pairs"), F.lit(0.0))
     inter = (total.select("_all").scalar() - F.col("_in")) / F.nullif(

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
 from rankloom.functions import vectors as V
-from rankloom.operators import ann, encoding, topk
+from rankloom.operators import ann, encoding, stored_ann, topk
 from rankloom.operators.ranking import ranked
 from rankloom.plans import duck as D
 from rankloom.plans import tables
 from rankloom.plans.registry import query
+from rankloom.scale import cut_lineage, scratch_path
 from rankloom.sources import store
 
+#: One cell in so many is probed, and candidates of a code search that are scored exactly.
+PROBED, CODE_CANDIDATES = 2, 60
+
 PAIRS = """v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
 s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.e, b.e) AS score
       FROM v a JOIN v b ON a.vec_id <> b.vec_id)"""
@@ -146,22 +151,85 @@ def vector_footprint(spark, sf_dir):
     return store.footprint(_vectors(spark, sf_dir))
 
 
+def _cells(spark, sf_dir) -> stored_ann.CellIndex:
+    """The stored cell index: trained once, a folder for each cell."""
+
+    def build() -> DataFrame:
+        return _vectors(spark, sf_dir).select("vec_id", "embedding")
+
+    def keep(rows: DataFrame, label: str) -> stored_ann.CellIndex:
+        return stored_ann.write_cells(rows, ["vec_id"], scratch_path(spark, f"{label}-cells"))
+
+    return tables._once(spark, ("vector-cells", sf_dir), build, "embeddings", keep=keep)
+
+
 @query("cell_search_all_cells", _nearest_sql(k=5))
 def cell_search_all_cells(spark, sf_dir):
     """Inverted-file search probing every cell: must equal the exact search."""
-    vectors = _vectors(spark, sf_dir)
-    model = ann.train_cells(vectors, 8)
-    celled = ann.assign_cells(vectors, model)
-    return _without_self(ann.cell_search(_as_queries(vectors), celled, model, 8, 6, ["vec_id"]), 5)
+    index = _cells(spark, sf_dir)
+    return _without_self(stored_ann.search_cells(_as_queries(_vectors(spark, sf_dir)), index, index.n_cells, 6, ["vec_id"]), 5)
 
 
 @query("cell_search")
 def cell_search(spark, sf_dir):
-    """Inverted-file search of 3 of 8 cells."""
+    """Inverted-file search of the nearest half of the cells (these vectors lie nearly evenly); only the folders of probed cells are read."""
+    index = _cells(spark, sf_dir)
+    return _without_self(stored_ann.search_cells(_as_queries(_vectors(spark, sf_dir)), index, _probes(index), 6, ["vec_id"]), 5)
+
+
+def _probes(index: stored_ann.CellIndex) -> int:
+    return max(1, round(index.n_cells / PROBED))
+
+
+def _exact(spark, sf_dir, queries: DataFrame, k: int) -> DataFrame:
+    return _without_self(topk.top_k(queries, _vectors(spark, sf_dir), topk.VectorScorer(), k + 1, ["vec_id"]), k)
+
+
+def _asked(spark, sf_dir) -> DataFrame:
+    """The stated query set of the graph and projection searches: vectors whose id is divisible by 20, against all."""
+    return _as_queries(_vectors(spark, sf_dir).where(F.col("vec_id") % 20 == 0))
+
+
+def _judged(found: DataFrame, exact: DataFrame, name: str) -> DataFrame:
+    """One row: exact hits asked for, whether nine in ten were found, whether every score is the exact one."""
+    deep = stored_ann.quality(found, exact, ["vec_id"])
+    return deep.select(
+        F.lit(name).alias("search"), "n_exact", (F.col("n_right") >= 0.9 * F.col("n_exact")).alias("recall_at_least_90"), (F.col("n_wrong_scores") == 0).alias("scores_exact")
+    )
+
+
+def _recall_sql(name: str, where: str = "vec_id % 20 = 0") -> str:
+    return f"""SELECT '{name}' AS search, count(*) * least(5, (SELECT count(*) FROM embeddings) - 1) AS n_exact,
+  true AS recall_at_least_90, true AS scores_exact FROM embeddings WHERE {where}"""
+
+
+@query("cell_search_recall", _recall_sql("cells", "true"))
+def cell_search_recall(spark, sf_dir):
+    """The cell search of all vectors against the exact one."""
+    return _judged(cell_search(spark, sf_dir), _exact(spark, sf_dir, _as_queries(_vectors(spark, sf_dir)), 5), "cells")
+
+
+def graph_hits(spark, sf_dir) -> tuple[DataFrame, stored_ann.Graph]:
     vectors = _vectors(spark, sf_dir)
-    model = ann.train_cells(vectors, 8)
-    celled = ann.assign_cells(vectors, model)
-    return _without_self(ann.cell_search(_as_queries(vectors), celled, model, 3, 6, ["vec_id"]), 5)
+    graph = stored_ann.Graph(vectors.select("vec_id", "embedding"), "vec_id")
+    return _without_self(graph.search(_asked(spark, sf_dir), 6), 5), graph
+
+
+@query("graph_search")
+def graph_search(spark, sf_dir):
+    """Best-first search on a graph of near neighbours, for vectors whose id is divisible by 20."""
+    return graph_hits(spark, sf_dir)[0]
+
+
+@query(
+    "graph_search_recall",
+    _recall_sql("graph").replace("AS scores_exact FROM", "AS scores_exact, true AS scored_below_20_percent FROM"),
+)
+def graph_search_recall(spark, sf_dir):
+    """The graph search against the exact one, and the pairs compared for building and searching against all pairs."""
+    hits, graph = graph_hits(spark, sf_dir)
+    judged = _judged(cut_lineage(hits), _exact(spark, sf_dir, _asked(spark, sf_dir), 5), "graph")
+    return judged.withColumn("scored_below_20_percent", F.lit(graph.scored < 0.2 * graph.n * graph.n))
 
 
 @query("projection_search")
@@ -171,13 +239,36 @@ def projection_search(spark, sf_dir):
     return _without_self(ann.projection_search(_as_queries(vectors), vectors, 6, ["vec_id"]), 5)
 
 
+@query("projection_search_recall", _recall_sql("projections"))
+def projection_search_recall(spark, sf_dir):
+    """Random projections against the exact search."""
+    vectors, asked = _vectors(spark, sf_dir), _asked(spark, sf_dir)
+    hits = _without_self(ann.projection_search(asked, vectors, 6, ["vec_id"]), 5)
+    return _judged(hits, _exact(spark, sf_dir, asked, 5), "projections")
+
+
+def _coded(spark, sf_dir) -> tuple[DataFrame, np.ndarray]:
+    """The stored product codes and their books: trained on one sample, written once."""
+    vectors = _vectors(spark, sf_dir).select("vec_id", "embedding")
+
+    def keep(rows: DataFrame, label: str) -> tuple[DataFrame, np.ndarray]:
+        books = stored_ann.train_books(rows, ["vec_id"], parts=16)
+        return stored_ann.write_codes(rows, books, scratch_path(spark, f"{label}-codes")), books
+
+    return tables._once(spark, ("vector-codes", sf_dir), lambda: vectors, "embeddings", keep=keep)
+
+
 @query("product_code_search")
 def product_code_search(spark, sf_dir):
-    """Candidates by product codes, exact scores for the candidates."""
-    vectors = _vectors(spark, sf_dir)
-    models = ann.train_codes(vectors, 64, 4, codes=8)
-    coded = ann.encode_codes(vectors, models)
-    return _without_self(ann.code_search(_as_queries(vectors), coded, models, 50, 6, ["vec_id"]), 5)
+    """Candidates by stored product codes, exact scores for the candidates."""
+    coded, books = _coded(spark, sf_dir)
+    return _without_self(stored_ann.search_codes(_as_queries(_vectors(spark, sf_dir)), coded, books, CODE_CANDIDATES, 6, ["vec_id"]), 5)
+
+
+@query("product_code_recall", _recall_sql("codes", "true"))
+def product_code_recall(spark, sf_dir):
+    """The code search of all vectors against the exact one."""
+    return _judged(product_code_search(spark, sf_dir), _exact(spark, sf_dir, _as_queries(_vectors(spark, sf_dir)), 5), "codes")
 
 
 @query(
