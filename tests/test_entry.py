@@ -10,7 +10,7 @@ def test_queries_and_sql_belong_together():
     assert set(queries) <= set(entry.queries()) and set(sql) <= set(queries)
     assert len(queries) >= 100
     assert set(queries) - set(sql) == {
-        "cell_search", "projection_search", "product_code_search", "encoder_comparison", "stage_latency_p99_sketch",
+        "cell_search", "graph_search", "projection_search", "product_code_search", "encoder_comparison", "stage_latency_p99_sketch",
     }
     assert not any(re.fullmatch(r"op\d+_.*|pipeline.*", name) for name in queries)
 
