@@ -10,13 +10,12 @@ Darts are thrown up to a rank that gives about K ln K + 2K of them, whatever the
 size of the set, so a signature costs O(size + K log K). Two documents agree in a
 coordinate with a probability equal to their weighted Jaccard similarity.
 
-Bands of R coordinates are buckets. A bucket is never compared pair by pair: its
-members are compared with one of them, first with who has most company in all its
-buckets. Those that are not similar to it go through another round: what is left of
-a bucket is split by more coordinates and gets a few other centres, until nobody has
-company. Each round compares a member with a few others, so the work follows the
-number of members, not of pairs. Comparison is exact, on the cells. Documents linked in this
-way, directly or through others, form a class.
+Bands of R coordinates are buckets. Buckets with the same members are one. What shares a bucket is compared until
+every two members are linked, directly or through others, or were compared themselves: first one member with all,
+then whoever is outside the largest class with all who are not in its own. So copies of one text cost a comparison
+each, and no link is lost. The cells of a bucket's members come together in one task; a bucket of more than BLOCK
+members is dealt into blocks, and each two blocks are a task. Comparison is exact, on the cells. Documents linked in
+this way, directly or through others, form a class.
 """
 
 from __future__ import annotations
@@ -37,8 +36,8 @@ SIMILAR = 0.8
 BANDS, ROWS = 20, 5
 _K = BANDS * ROWS
 _ID_BITS = 52
-#: Centres of a bucket and coordinates that split it, from the second round on.
-CENTRES, SPLIT = 4, 3
+#: Members of a bucket that one task compares with each other; of two blocks in a larger bucket.
+BLOCK = 1000
 
 
 # -------------------------------------------------------------------- signatures
@@ -169,21 +168,63 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(both) - shared) if len(both) else 0.0
 
 
-def similar(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose similarity is SIMILAR or more."""
+def linked(cells: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links (positions) that connect all texts which similar pairs connect, without comparing what is connected already.
+
+    In the end only the largest class has members that were not compared with all outside their class, and those
+    outside have been: so every two texts of different classes were compared.
+    """
+    n = len(cells)
+    if n == 2:
+        return [(0, 1)] if similarity(*cells) >= SIMILAR else []
+    sizes, of, done, found = np.array([len(c) for c in cells]), np.arange(n), np.zeros(n, bool), []
+    while True:
+        left = np.flatnonzero((of != np.bincount(of).argmax()) & ~done)
+        if not len(left):
+            return found
+        i = left[0]
+        done[i] = True
+        others = np.flatnonzero((of != of[i]) & ~done & (np.minimum(sizes, sizes[i]) >= SIMILAR * np.maximum(sizes, sizes[i])))
+        others = others[(sizes[others] > 0) & (sizes[i] > 0)]
+        if not len(others):
+            continue
+        whose = np.repeat(np.arange(len(others)), sizes[others])
+        theirs = np.concatenate([cells[j] for j in others])
+        at = np.minimum(np.searchsorted(cells[i], theirs), sizes[i] - 1)
+        shared = np.bincount(whose[cells[i][at] == theirs], minlength=len(others))
+        for j in others[shared / (sizes[others] + sizes[i] - shared) >= SIMILAR]:
+            if of[j] != of[i]:
+                found.append((int(i), int(j)))
+                of[of == of[j]] = of[i]
+
+
+def links_within(members: DataFrame) -> DataFrame:
+    """(a, b): links of the rows (bucket, i, j, id, cells) that lie together, sorted by the first three."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            columns = list(zip(*found)) if found else [[], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+        def pairs() -> list[tuple[int, int]]:
+            if len(ids) < 2:
+                return []
+            return [(min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in linked(cells)]
+
+        place, ids, cells = None, [], []
         for batch in batches:
-            keep = [
-                similarity(np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")) >= SIMILAR
-                for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+            found: list[tuple[int, int]] = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for at, name, held in zip(zip(*columns[:3]), *columns[3:]):
+                if at != place:
+                    found += pairs()
+                    place, ids, cells = at, [], []
+                ids.append(name)
+                cells.append(np.frombuffer(held, "<u4"))
+            yield rows(found)
+        yield rows(pairs())
 
-    one = held.select(F.col("id").alias("a"), F.col("cells").alias("cells_a"))
-    other = held.select(F.col("id").alias("b"), F.col("cells").alias("cells_b"))
-    joined = pairs.join(one, "a").join(other, "b")
-    return joined.select("a", "b", "cells_a", "cells_b").mapInArrow(run, "a long, b long")
+    return members.select("bucket", "i", "j", "id", "cells").mapInArrow(run, "a long, b long")
 
 
 # ------------------------------------------------------------------------ classes
@@ -204,41 +245,25 @@ def components(edges: DataFrame) -> DataFrame:
 def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): similar pairs that connect each class. ``signed``: (id, first, darts), one row for each different text, with
     a document that holds it; ``texts``: (id, text) of the documents."""
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda j: F.struct(j.alias("band"), F.xxhash64(j, F.slice("darts", j * ROWS + 1, ROWS)).alias("bucket")),
-    )
-    every = signed.select("id", F.explode(bands).alias("of")).select("id", "of.band", "of.bucket")
-    shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.slice("darts", j * ROWS + 1, ROWS)))
+    every = signed.select("id", F.explode(bands).alias("bucket"))
+    # buckets with the same members need to be looked at once
+    marks = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    shared = every.groupBy("bucket").agg(F.count("*").alias("n"), *marks).where(F.col("n") > 1)
+    shared = shared.groupBy("n", "mark0", "mark1").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
     members = stored(every.join(shared, "bucket"), "bucket-members")
-    # in the first round the centre is who shares most buckets with most documents: an original among its copies
-    company = members.groupBy("id").agg(F.sum("n").alias("company"))
-    weight = F.struct("company", F.xxhash64("id", "bucket"))
-    members = members.join(company, "id").select("id", "band", "bucket", weight.alias("weight"))
-    named = broadcast_if_small(company.select("id").join(signed, "id").select(F.col("first").alias("named")).distinct())
+    named = broadcast_if_small(members.select("id").distinct().join(signed, "id").select(F.col("first").alias("named")).distinct())
     candidates = stored(with_cells(texts.join(named, F.col("id") == F.col("named"), "left_semi")), "candidate-cells")
-    found, turn = None, 0
-    while True:
-        order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "id")
-        first = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= (CENTRES if turn else 1))
-        centres = first.groupBy("bucket").agg(F.collect_list("id").alias("centres"))  # a handful each
-        met_by = members.join(centres, "bucket").select(
-            "id", "band", "bucket", F.array_contains("centres", F.col("id")).alias("is_centre"), F.explode("centres").alias("centre"))
-        stars = stored(met_by.where(F.col("id") != F.col("centre")).select(
-            "id", "band", "bucket", "is_centre", F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")), "stars")
-        good = stored(similar(stars.select("a", "b").distinct(), candidates), "similar-pairs")
-        found = good if found is None else found.unionByName(good)
-        met = good.select("a", "b", F.lit(1).alias("met"))
-        asked = stars.where(~F.col("is_centre")).join(met, ["a", "b"], "left").groupBy("bucket", "id", "band").agg(F.max("met").alias("met"))
-        rest = asked.where(F.col("met").isNull()).select("bucket", "id", "band")
-        # the next round splits what is left of a bucket by more coordinates, and drops who is then alone
-        more = [F.element_at("darts", (F.col("band") * ROWS + ROWS + turn * SPLIT + i) % _K + 1) for i in range(SPLIT)]
-        split = rest.join(signed.select("id", "darts"), "id").select("id", "band", F.xxhash64("bucket", *more).alias("bucket"))
-        split = stored(split.withColumn("weight", F.struct(F.lit(0).cast("long").alias("company"), F.xxhash64("id", "bucket"))), "left-over")
-        company_left = split.groupBy("bucket").count().where(F.col("count") > 1).select("bucket")
-        members, turn = split.join(company_left, "bucket", "left_semi"), turn + 1
-        if company_left.isEmpty():
-            return found
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.pmod(F.xxhash64("id", F.lit(2)), blocks)
+    with_others = F.transform(
+        F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda other: other != F.col("own")),
+        lambda other: F.struct(F.least("own", other).alias("i"), F.greatest("own", other).alias("j")),
+    )
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j")))
+    placed = members.withColumn("own", own).select("id", "bucket", F.inline(F.when(blocks == 1, alone).otherwise(with_others)))
+    together = placed.join(candidates, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "id")
+    return stored(links_within(together), "similar-pairs")
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -340,3 +340,50 @@ def test_texts_of_one_id_are_linked_apart(spark):
     rows = [(1, " ".join(t)) for t in texts] + [(3 + i, " ".join(t)) for i, t in enumerate(near)] + [(9, "something else entirely, that nobody has")]
     found = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.class_id for r in found.collect()} == {1: 1, 3: 1, 4: 1, 5: 1, 9: 9}
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_dense_groups_of_near_copies_lose_no_link(spark, monkeypatch, block):
+    """Many copies of one text, each changed in some places: some are similar to a few others only."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    rng, texts = random.Random(11), []
+    for group in range(3):
+        base = [f"g{group}w{i}" for i in range(120)]
+        for _ in range(60):
+            copy = list(base)
+            for _ in range(rng.choice([1, 2, 3, 4])):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    bags, parent = [_bag(t) for t in texts], list(range(len(texts)))
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if _similar(bags[i], bags[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates.classes(docs).collect()} == {i: root(i) for i in range(len(texts))}
+
+
+def test_links_connect_what_is_similar_whatever_the_order():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        cells = [np.sort(rng.choice(40, rng.integers(0, 30), replace=False)).astype("<u4") for _ in range(12)]
+        cells += [np.sort(np.append(rng.choice(c, max(len(c) - 1, 0), replace=False), 99)).astype("<u4") for c in cells]
+        want, got = list(range(len(cells))), list(range(len(cells)))
+
+        def join(of, a, b):
+            of[:] = [of[a] if x == of[b] else x for x in of]
+
+        for a in range(len(cells)):
+            for b in range(a):
+                if near_duplicates.similarity(cells[a], cells[b]) >= near_duplicates.SIMILAR:
+                    join(want, a, b)
+        links = near_duplicates.linked(cells)
+        for a, b in links:
+            assert got[a] != got[b] and near_duplicates.similarity(cells[a], cells[b]) >= near_duplicates.SIMILAR
+            join(got, a, b)
+        assert len({*zip(want, got)}) == len(set(want)) == len(set(got))
