@@ -5,7 +5,11 @@ of query weight is its impact there. The impacts of one term in one block are on
 largest value beside them. These rows lie by bucket of the term's hash, range-partitioned by (term, block), so a term
 that most rows hold fills several files and a rare one shares a file.
 
-A search goes in two steps, each a handful of joins inside the JVM:
+A search (``by_blocks``) brings the asked lists of a block together in one task and scores the block's rows for all
+queries by a matrix product; a task lets out only rows that reach the k best it has seen. Its work follows the lists read, not
+the pairs of a query and a row.
+
+``Search`` is the form for few, selective queries. It goes in two steps, each a handful of joins inside the JVM:
 
 1. Threshold. The terms that can add most are looked up first; the best rows they lead to are scored in full. The k-th
    of these scores is a lower bound for the k-th score of the query.
@@ -21,13 +25,18 @@ indexes at once (chunk sizes, say) have a ``space`` column: statistics and resul
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
-from rankloom.operators.lexical import B, K1, corpus_stats, query_weights
+from rankloom.operators.lexical import B, K1, LexicalScorer, corpus_stats, query_weights
 from rankloom.operators.ranking import by_score
+from rankloom.operators.topk import best_positions, query_blocks
 from rankloom.scale import BROADCAST_BYTES, BROADCAST_ROWS, through_table
 
 #: Rows of the corpus in a block, about.
@@ -70,8 +79,10 @@ def postings(corpus: DataFrame, keys: Sequence[str], space: str | None = None) -
     total = corpus.agg(F.sum(F.size(F.array_distinct("terms")))).first()[0] or 0
     buckets = F.lit(min(MOST_BUCKETS, max(8, total // FILE_POSTINGS)))
     term = _named(space, F.col("term"))
-    each = corpus.select(*per, *keys, F.size("terms").alias("_length"), _block(corpus, keys).alias("block"), F.explode("terms").alias("term"))
-    counted = each.where(F.col("term").isNotNull()).groupBy(*per, *keys, "_length", "block", "term").agg(F.count(F.lit(1)).alias("_tf"))
+    of_row = [*per, *keys, "_length", "block"]
+    counted = _counted(corpus.select(*per, *keys, F.size("terms").alias("_length"), _block(corpus, keys).alias("block"), "terms"), of_row)
+    if not corpus.groupBy(*per, *keys).count().where(F.col("count") > 1).isEmpty():
+        counted = counted.groupBy(*of_row, "term").agg(F.sum("_tf").alias("_tf"))
     if space:
         mean = F.broadcast(corpus.groupBy(space).agg(F.avg(F.size("terms")).alias("_mean")))  # one row for each index
         counted = counted.join(mean, space)
@@ -84,6 +95,30 @@ def postings(corpus: DataFrame, keys: Sequence[str], space: str | None = None) -
     return packed.withColumn("buckets", buckets).select(_bucket(F.col("term"), F.col("buckets")).alias("bucket"), *packed.columns, "buckets")
 
 
+def _counted(rows: DataFrame, of_row: list[str]) -> DataFrame:
+    """(*of_row, term, _tf): the terms of each row with their counts, made inside the row's task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                terms = batch.column("terms")
+                found = terms.flatten().dictionary_encode()
+                there = pc.is_valid(found.indices).to_numpy(zero_copy_only=False)
+                number = found.indices.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+                size = max(len(found.dictionary), 1)
+                row = pc.list_parent_indices(terms).to_numpy(zero_copy_only=False)[there].astype(np.int64)
+                pair, tf = np.unique(row * size + number, return_counts=True)
+                row = pa.array(pair // size)
+                columns = [batch.column(c).take(row) for c in of_row]
+                term = found.dictionary.take(pa.array(pair % size))
+                yield pa.RecordBatch.from_arrays([*columns, term, pa.array(tf.astype(np.int64))], [*of_row, "term", "_tf"])
+
+    schema = [rows.schema[c] for c in of_row]
+    schema += [S.StructField("term", S.StringType()), S.StructField("_tf", S.LongType())]
+    return rows.mapInArrow(run, S.StructType(schema))
+
+
 def _named(space: str | None, term: Column) -> Column:
     return F.concat_ws("\x01", F.col(space).cast("string"), term) if space else term
 
@@ -203,6 +238,69 @@ class Search:
         return self._in_full(rows, rest, rows.count() * longest)
 
 
+def _rows_of(flat: pa.StructArray, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each entry's row, in the order of keys; an entry of each row)."""
+    named = pa.table([flat.field(key) for key in keys], names=keys)
+    order = pc.sort_indices(named, [(key, "ascending") for key in keys]).to_numpy()
+    first = np.zeros(len(order), bool)
+    first[:1] = True
+    for key in keys:
+        codes = flat.field(key).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)[order]
+        first[1:] |= codes[1:] != codes[:-1]
+    row = np.empty(len(order), np.int64)
+    row[order] = np.cumsum(first) - 1
+    return row, order[first]
+
+
+def by_blocks(asked: DataFrame, held: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
+    """(query_id, *keys, score) of the rows that may be among the k best of queries (query_id, term, weight): all that are,
+    with their whole scores. The asked lists of a block of rows meet in one task."""
+    keys, scorer = list(keys), LexicalScorer()
+    asked = through_table(asked.select("query_id", "term", "weight", F.lit(1.0).alias("avgdl")), "asked-terms")
+    table = asked.toArrow()
+    shared = asked.sparkSession.sparkContext.broadcast(table)
+    wanted = F.broadcast(asked.select("term").distinct())
+    opened = asked_for(held, asked, table.num_rows).select("block", "term", "entries").join(wanted, "term", "left_semi")
+
+    def scored(blocks: list, parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        rows = pa.concat_tables(parts).combine_chunks()
+        lists = pa.concat_arrays(rows.column("entries").chunks)
+        flat, of = lists.flatten(), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+        row, one = _rows_of(flat, keys)
+        impact = flat.field("impact").to_numpy(zero_copy_only=False)
+        for block in blocks:
+            term = pc.fill_null(pc.index_in(rows.column("term"), value_set=block.data["vocabulary"]), -1).to_numpy()[of].astype(np.int64)
+            at = term >= 0
+            total = scorer.totals(block.data, row[at], term[at], impact[at], len(one))
+            q, r, rounded = best_positions(total, k)
+            keep = block.admit(q, rounded, k)
+            q, r = q[keep], r[keep]
+            if len(q):
+                columns = [block.ids.take(pa.array(q)), *[flat.field(key).take(pa.array(one[r])) for key in keys]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(total[q, r], pa.float64())], ["query_id", *keys, "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, place, parts = query_blocks(scorer, shared.value), None, []
+        for batch in batches:
+            number = batch.column("block").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+            for start, stop in zip(edges, edges[1:]):
+                if start == stop:
+                    continue
+                if parts and number[start] != place:
+                    yield from scored(blocks, parts)
+                    parts = []
+                place = number[start]
+                parts.append(pa.Table.from_batches([batch.slice(start, stop - start)]))
+        if parts:
+            yield from scored(blocks, parts)
+
+    entry = held.schema["entries"].dataType.elementType
+    fields = [S.StructField("query_id", asked.schema["query_id"].dataType), *[S.StructField(key, entry[key].dataType) for key in keys]]
+    together = opened.repartition("block").sortWithinPartitions("block")
+    return together.mapInArrow(run, S.StructType([*fields, S.StructField("score", S.DoubleType())]))
+
+
 def search(
     queries: DataFrame, held: DataFrame, weights: DataFrame, k: int, keys: Sequence[str], text: str = "query", space: str | None = None
 ) -> DataFrame:
@@ -212,11 +310,13 @@ def search(
     asked in every space of ``weights``, and results have its column.
     """
     keys, per = list(keys), [space] if space else []
-    asked = query_weights(queries, weights, text, per)
+    asked = query_weights(queries.where(F.col("query_id").isNotNull()), weights, text, per)
+    kind = asked.schema["query_id"].dataType
     if space:
-        asked = asked.select(F.struct(F.col(space), F.col("query_id").alias("id")).alias("query_id"), _named(space, F.col("term")).alias("term"), "weight")
-    scored = Search(asked.select("query_id", "term", "weight"), held, k, keys).run()
+        asked = asked.select(_named(space, F.col("query_id").cast("string")).alias("query_id"), _named(space, F.col("term")).alias("term"), "weight")
+    scored = by_blocks(asked.select("query_id", "term", "weight"), held, k, keys)
     if space:
-        scored = scored.select(f"query_id.{space}", F.col("query_id.id").alias("query_id"), *keys, "score")
+        apart = F.split("query_id", "\x01", 2)
+        scored = scored.select(apart[0].alias(space), apart[1].cast(kind).alias("query_id"), *keys, "score")
     place = F.row_number().over(Window.partitionBy(*per, "query_id").orderBy(*by_score(keys))).cast("bigint")
     return scored.withColumn("rank", place).where(F.col("rank") <= k)

@@ -98,3 +98,14 @@ def test_spaces_are_searched_apart(spark, tmp_path):
         one = corpus.where(F.col("config") == name)
         want = found(lexical.bm25(asked, one, 5, ["doc_id"]))
         assert want and found(got.where(F.col("config") == name)) == want
+
+
+def test_blocks_are_scored_in_tasks_not_by_joins_of_pairs(spark, tmp_path):
+    """No pair of a query and a row leaves a task unless it may be among the k best; rows with a repeated key are counted together."""
+    corpus = long_corpus(spark)
+    held = postings.store(postings.postings(corpus.unionByName(corpus.limit(5)), ["doc_id"]), str(tmp_path / "held"))
+    asked = queries(spark, "w1 w2 w3", "w1 w5").select("query_id", F.explode(F.split("query", " ")).alias("term"), F.lit(1.0).alias("weight"))
+    found = postings.by_blocks(asked, held, 2, ["doc_id"])
+    assert found.count() < asked.join(held, "term").agg(F.sum("n")).first()[0] / 4
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Join") <= 1
