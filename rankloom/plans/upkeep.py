@@ -392,7 +392,7 @@ def _versioned_chunks(spark, sf_dir) -> versioned.VersionedTable:
         return _chunks(spark, sf_dir).unionByName(chunking.fixed_chunks(_docs(spark, sf_dir), 64, 16, strategy=OTHER_STRATEGY))
 
     def keep(rows: DataFrame, label: str) -> versioned.VersionedTable:
-        return versioned.create(through_table(rows, f"{label}-chunks"), ["doc_id"], scratch_path(spark, f"{label}-versions"))
+        return versioned.create(rows, ["doc_id"], scratch_path(spark, f"{label}-versions"))
 
     return tables._once(spark, ("versioned-chunks", sf_dir), build, keep=keep)
 

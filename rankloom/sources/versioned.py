@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
-from rankloom.scale import cut_lineage
+from rankloom.scale import broadcast_if_small, cut_lineage
 from rankloom.sources.store import dealt_by
 
 #: Rows of a bucket that are aimed at, and buckets at most.
@@ -104,10 +104,13 @@ class VersionedTable:
         entries = self.manifest(newest)
         buckets = set(self.touched_by(rows))
         known = self._of([folder for bucket, folder in entries if bucket in buckets]).select(*key)
-        fresh = cut_lineage(rows.dropDuplicates(key).join(known, key, "left_anti"))
-        n = fresh.count()
+        # keys alone are compared; whole rows are only moved where they are new
+        missing = cut_lineage(rows.select(*key).distinct().join(known, key, "left_anti"))
+        n = missing.count()
         if n:
-            self._switch(newest + 1, entries + self._write(fresh), batch)
+            missing = broadcast_if_small(missing.toDF(*[f"_{c}" for c in key]))
+            fresh = rows.join(missing, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key], "left_semi").dropDuplicates(key)
+            self._switch(newest + 1, entries + self._write(cut_lineage(fresh)), batch)
         return n
 
 
