@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
@@ -22,6 +22,10 @@ from rankloom.operators.chunking import distinct_content
 from rankloom.scale import skew_join
 
 
+#: Bytes of text that an encoder gets at once.
+ENCODE_BYTES = 2_000_000
+
+
 class Encoder(Protocol):
     """What ``embed`` needs: a name, a version, a dimension and a batch method."""
 
@@ -68,17 +72,28 @@ class HashedEncoder:
         return (counts / length[:, None]).astype(np.float32)
 
 
+def _parts(rows: pa.RecordBatch, text: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of at most ``most`` rows and, unless one text is longer, ENCODE_BYTES of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(rows.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < rows.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        stop = int(np.searchsorted(ends, before + ENCODE_BYTES, side="right"))
+        stop = min(max(stop, start + 1), start + most, rows.num_rows)
+        yield rows.slice(start, stop - start)
+        start = stop
+
+
 def embed(
     rows: DataFrame, make_encoder: Callable[[], Encoder] = HashedEncoder, text: str = "text", batch: int = 4096
 ) -> DataFrame:
-    """Adds ``embedding``. The encoder is built once per task and fed ``batch`` texts at a time."""
+    """Adds ``embedding``. The encoder is built once per task and fed up to ``batch`` texts and ENCODE_BYTES at a time."""
     schema = S.StructType([*rows.schema.fields, S.StructField("embedding", S.ArrayType(S.FloatType(), False))])
 
     def run(batches):
         encoder = make_encoder()
         for whole in batches:
-            for start in range(0, whole.num_rows, batch):
-                part = whole.slice(start, batch)
+            for part in _parts(whole, text, batch):
                 vectors = encoder.encode(part.column(text))
                 flat = pa.array(vectors.reshape(-1), pa.float32())
                 offsets = pa.array(np.arange(len(vectors) + 1) * vectors.shape[1], pa.int32())
