@@ -175,7 +175,12 @@ def stream_silent_users(spark, sf_dir):
     spark.conf.set(name, store_class)
     try:
         rows = events.select("user_id", "ts", "on_time")
-        found = run.drain_in_stages(lambda r: alarms.silent_keys(r, "user_id", 6 * 3600), rows, F.col("on_time"), STAGES, "silent")
+        slices = max(alarms.SLICES, rows.count() // alarms.SLICE_EVENTS)
+
+        def build(r: DataFrame) -> DataFrame:
+            return alarms.silent_keys(r, "user_id", 6 * 3600, slices=slices)
+
+        found = run.drain_in_stages(build, rows, F.col("on_time"), STAGES, "silent")
     finally:
         spark.conf.set(name, before)
     return _plain(found, "last_seen", "alarmed_at")

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,47 @@ def test_silence_is_noticed_whatever_the_batches(spark, events, stages):
     finally:
         spark.conf.set(name, before)
     assert got == want
+
+
+def test_runs_are_merged_whatever_the_pieces():
+    draw = random.Random(5)
+    for _ in range(50):
+        points = [(draw.choice("abc"), draw.randint(0, 100)) for _ in range(draw.randint(1, 40))]
+        want = []
+        for key, at in sorted(points):
+            if want and want[-1][0] == key and at - want[-1][2] <= 5:
+                want[-1][2] = at
+            else:
+                want.append([key, at, at])
+        cut = draw.randint(0, len(points))
+        held = (np.empty(0, object), np.empty(0, np.int64), np.empty(0, np.int64))
+        for part in (points[:cut], points[cut:]):
+            if part:
+                keys, us = np.array([k for k, _ in part], object), np.array([t for _, t in part])
+                held = alarms.merged(*(np.concatenate(p) for p in zip(held, (keys, us, us))), 5)
+        assert sorted(map(list, zip(*held))) == want
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "double"])
+def test_silence_of_keys_that_share_a_state(spark, tmp_path, monkeypatch, kind):
+    monkeypatch.setattr(run, "scratch_path", lambda _, label: str(tmp_path / label))
+    big = 2**53 + 1  # keys that no floating number holds, beside rows without a key
+    rows = [(None if i % 9 == 0 else big + i % 40, START + dt.timedelta(hours=(i * 7919) % 97), None) for i in range(300)]
+    rows = [(user, ts, int(ts >= START + dt.timedelta(hours=50))) for user, ts, _ in rows]
+    table = spark.createDataFrame(rows, "user_id bigint, ts timestamp, on_time int").withColumn("user_id", F.expr(f"cast(user_id as {kind})"))
+    want, times = set(), {}
+    for r in table.collect():
+        if r.user_id is not None:
+            times.setdefault(r.user_id, []).append(r.ts)
+    for user, ts in times.items():
+        ts.sort()
+        want |= {(user, a) for a, b in zip(ts, ts[1:] + [None]) if b is None or b - a > dt.timedelta(hours=5)}
+    name, store = alarms.STORE
+    before = spark.conf.get(name)
+    spark.conf.set(name, store)
+    try:
+        found = run.drain_in_stages(lambda r: alarms.silent_keys(r, "user_id", 5 * 3600, slices=3), table, F.col("on_time"), 2, "shared")
+        got = [(r.user_id, r.last_seen) for r in found.collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert len(got) == len(set(got)) and set(got) == want
