@@ -141,7 +141,8 @@ def stream_close_pairs(spark, sf_dir):
     def build(rows: DataFrame) -> DataFrame:
         return windows.with_company(*_sides(rows), "user_id", 300).select("user_id")
 
-    found = run.drain_in_stages(build, events, F.col("on_time"), STAGES, "pairs", close=False)
+    rows = events.select("user_id", "event_type", "ts", "on_time")
+    found = run.drain_in_stages(build, rows, F.col("on_time"), STAGES, "pairs", close=False)
     return found.where(F.col("user_id").isNotNull()).distinct()
 
 
@@ -158,7 +159,8 @@ def stream_lone_clicks(spark, sf_dir):
     def build(rows: DataFrame) -> DataFrame:
         return windows.without_company(*_sides(rows), "user_id", 300).select("event_id", "user_id", "ts")
 
-    found = run.drain_in_stages(build, events, F.col("on_time"), STAGES, "lone-clicks")
+    rows = events.select("event_id", "user_id", "event_type", "ts", "on_time")
+    found = run.drain_in_stages(build, rows, F.col("on_time"), STAGES, "lone-clicks")
     return _plain(found.where(F.col("user_id").isNotNull()), "ts")
 
 

@@ -5,7 +5,8 @@ All state and output live in the shared folder, so a restarted query goes on whe
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from rankloom.scale import scratch_path
 
 #: How long after the newest row a stream's closing row comes: longer than any window and watermark here.
 QUIET = "2 DAYS"
+#: Rows of a batch that one partition of a stream's state takes.
+STATE_ROWS = 100_000
 
 
 def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -66,6 +69,30 @@ def drain_and_close(
     return spark.read.schema(out.schema).parquet(path)
 
 
+def state_partitions(spark: SparkSession, rows: int) -> int:
+    """How many partitions the state of a stream needs, if a batch has ``rows`` rows.
+
+    Each partition writes its stores' files in every batch, be there rows or not, so their number follows the rows: one for
+    each core, or as many as keep them small; never more than the session's shuffles have.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // STATE_ROWS))
+    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@contextmanager
+def _settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """Settings (dots as double underscores) for streams started within; a stream keeps those it was started with."""
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, str(value).lower())
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def drain_in_stages(
     build: Callable[[DataFrame], DataFrame], rows: DataFrame, stage: Column, n: int, label: str, ts: str = "ts", close: bool = True
 ) -> DataFrame:
@@ -74,15 +101,21 @@ def drain_in_stages(
     ``stage`` numbers the rows 0 to n - 1. ``build`` takes the stream and sets its watermark. The closing row (see
     ``drain_and_close``) has only a time: filters in ``build`` must let a row through whose other columns are null, since
     Spark moves filters (also those that a join on a nullable key implies) below the watermark, which otherwise never sees it.
+
+    A stage settles what the watermark of the stage before allows; no batch without rows is run in between, as it would
+    write all state once more. Only after the closing row one finishes what is left.
     """
     spark = rows.sparkSession
+    largest = rows.groupBy(stage.alias("_stage")).count().agg(F.max("count")).first()[0] or 0
+    parts = state_partitions(spark, largest)
     arrived, state, path = (scratch_path(spark, f"{label}-{part}") for part in ("arrived", "state", "out"))
     out = None
 
-    def drained() -> None:
+    def drained(finish: bool = False) -> None:
         nonlocal out
         out = build(spark.readStream.schema(rows.schema).parquet(arrived))
-        drain_to_table(out, label, state, path)
+        with _settings(spark, spark__sql__shuffle__partitions=parts, spark__sql__streaming__noDataMicroBatches__enabled=finish):
+            drain_to_table(out, label, state, path)
 
     for i in range(n):
         rows.where(stage == i).write.mode("append").parquet(arrived)
@@ -92,7 +125,7 @@ def drain_in_stages(
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != ts]
         last = newest.select((F.col(ts) + F.expr(f"INTERVAL {QUIET}")).alias(ts), *empty)
         last.select(*rows.columns).write.mode("append").parquet(arrived)
-        drained()
+        drained(finish=True)
     return spark.read.schema(out.schema).parquet(path)
 
 

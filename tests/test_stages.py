@@ -91,6 +91,27 @@ def test_silence_is_noticed_whatever_the_batches(spark, events, stages):
     assert got == want
 
 
+def batches_and_partitions(state):
+    """(batches run, partitions of the state) of a stream, by its checkpoint."""
+    return len([f for f in (state / "commits").iterdir() if f.name.isdigit()]), len([f for f in (state / "state" / "0").iterdir() if f.name.isdigit()])
+
+
+def test_state_follows_the_rows_not_the_shuffles(spark, events, tmp_path, monkeypatch):
+    monkeypatch.setattr(run, "scratch_path", lambda _, label: str(tmp_path / label))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        lone = run.drain_in_stages(lambda r: windows.without_company(*sides(r), "user_id", 300), events, F.floor(F.col("on_time") / 5), 2, "few")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "23"
+        assert run.state_partitions(spark, 7 * run.STATE_ROWS) == 7 and run.state_partitions(spark, 70 * run.STATE_ROWS) == 23
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with_purchase, clicks = near(events.collect())
+    assert sorted(r.event_id for r in lone.where("user_id is not null").collect()) == sorted(clicks - with_purchase)
+    # two stages, the closing row, and one batch that finishes; as many partitions as cores
+    assert batches_and_partitions(tmp_path / "few-state") == (4, spark.sparkContext.defaultParallelism)
+
+
 def test_runs_are_merged_whatever_the_pieces():
     draw = random.Random(5)
     for _ in range(50):
