@@ -8,6 +8,7 @@ the ids at multiples of the window. Only the last window is ever short.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -25,8 +26,19 @@ WINDOW = 2048
 END = 1
 #: Pieces that a worker remembers; a full memory is emptied and filled again.
 REMEMBERED = 1_200_000
-#: A full stop or comma that is part of a longer run of marks.
-_RUN_OF_MARKS = re.compile(r"(?:[^\w\s]|_)[.,] ")
+#: A full stop or comma that is part of a longer run of marks; it begins with what is rare, so that the search can skip.
+_RUN_OF_MARKS = re.compile(r"[.,] (?<=(?:[^\w\s]|_)[.,] )")
+#: What a tokenizer may do to a text before its model, if a word of lower-case letters in Latin-1 is to be left whole: the model
+#: then gets its bytes, each as one character.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE = [
+    {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+_KEPT = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: The character that stands for each byte.
+_OF_BYTE = {b: b if b in _KEPT else 256 + i for i, b in enumerate([*(x for x in range(256) if x not in _KEPT), *_KEPT])}
 
 
 def pieces_of(text: str) -> list[str]:
@@ -64,9 +76,31 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        front = json.loads(self.tokenizer.to_str())
+        self.plain = [(front[part] or {}).get(inner) for part, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))] == [_NORMAL, _PRE]
+        self.model = self.tokenizer.model
+        self.of_id: dict[int, bytes] = {i: np.array([i], self.kind).tobytes() for i in self.tokenizer.get_vocab().values()} if self.plain else {}
+
+    def _learn_plain(self, pieces: list[str]) -> list[str]:
+        """Words that reach the model as they are go to it at once; returns the other pieces."""
+        others, known, of_id, tokenize = [], self.known, self.of_id, self.model.tokenize
+        for piece in pieces:
+            if not (piece.isalpha() and piece.islower()):
+                others.append(piece)
+                continue
+            word = piece
+            if not piece.isascii():
+                if max(piece) > "\xff" or piece != piece.lower():
+                    others.append(piece)
+                    continue
+                word = piece.encode().decode("latin-1").translate(_OF_BYTE)
+            known[piece] = b"".join([of_id[token.id] for token in tokenize(word)])
+        return others
 
     def learn(self, pieces: list[str]) -> None:
         """Plain words are joined and encoded a thousand at a time, each being one stretch for the tokenizer."""
+        if self.plain:
+            pieces = self._learn_plain(pieces)
         words = [p for p in pieces if p.isalpha()]
         single = [p for p in pieces if not p.isalpha()]
         for at in range(0, len(words), 1000):

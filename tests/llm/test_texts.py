@@ -94,6 +94,28 @@ def test_encoder_equals_the_tokenizer():
     assert [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(WORDS, "<u4").encode(texts)] == own_ids(texts)
 
 
+def test_plain_words_reach_the_model_directly(monkeypatch):
+    encoder = packing.Encoder(WORDS, "<u4")
+    low = [c for c in map(chr, range(256)) if c.isalpha() and c.islower()]
+    words = low + [a + b for a in low for b in low] + ["onoulyan", "\xe9treon", "stra\xdfe", "\xaa\xba"]
+    want = [encoder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
+    class Refuses:
+        def __getattr__(self, name):
+            raise AssertionError("the whole tokenizer was asked")
+
+    monkeypatch.setattr(encoder, "tokenizer", Refuses())
+    encoder.learn(words)
+    assert [np.frombuffer(encoder.known[w], "<u4").tolist() for w in words] == want
+
+
+@pytest.mark.parametrize("text", ["a.. b", "a., b", "a_, b", "a, b", "a. ", "., ", ". a", "\xe9, b", "!. b", " , b", "a.b, c"])
+def test_runs_of_marks_are_found(text):
+    assert bool(packing._RUN_OF_MARKS.search(text)) == any(
+        text[i + 1] in ".," and text[i + 2] == " " and not (text[i].isalnum() or text[i].isspace()) for i in range(len(text) - 2)
+    )
+
+
 # --------------------------------------------------------------- training order
 @pytest.mark.parametrize("size", [1, 2, 5, 64, 1000])
 def test_slots_are_a_permutation(size):
