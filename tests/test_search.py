@@ -345,14 +345,26 @@ def test_encoder_gets_texts_by_bytes(spark, monkeypatch):
     assert [p.column("text").to_pylist() for p in parts] == [texts[:3], texts[3:4], texts[4:8], texts[8:]]
 
 
-def test_vector_searches_ask_every_hundredth(spark, tmp_path):
+def test_vector_searches_ask_every_row(spark, tmp_path):
     from rankloom.plans import catalogue
 
     draw = np.random.default_rng(2).normal(size=(320, 8))
     rows = [(i, [float(x) for x in v / np.linalg.norm(v)], i % 3) for i, v in enumerate(draw)]
     spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     found = {n: catalogue.QUERIES[n](spark, str(tmp_path)).collect() for n in ("nearest_vectors", "nearest_vectors_in_blocks", "cell_search_all_cells", "cell_search")}
-    assert all({r.query_id for r in hits} == {0, 100, 200, 300} for hits in found.values())
+    assert all({r.query_id for r in hits} == set(range(320)) for hits in found.values())
     exact = {(r.query_id, r["rank"]): r.vec_id for r in found["nearest_vectors"]}
     assert exact == {(r.query_id, r["rank"]): r.vec_id for r in found["nearest_vectors_in_blocks"]}
     assert {(r.query_id, r["rank"]): r.vec_id for r in found["cell_search_all_cells"]} == {k: v for k, v in exact.items() if k[1] <= 5}
+
+
+def test_positions_below_what_is_known_are_left_out():
+    draw = np.random.default_rng(4)
+    scores = draw.integers(0, 40, size=(30, 200)) / 40 + draw.choice([0, 4e-10], size=(30, 200))
+    scores[:, 3], scores[2, 7] = np.nan, -np.inf
+    least = np.round(np.sort(np.nan_to_num(scores, nan=-1, neginf=-1), axis=1)[:, -12], 9)
+    q, r, best = topk.best_positions(scores, 5)
+    some = best >= least[q]
+    found = topk.best_positions(scores, 5, least)
+    again = found[2] >= least[found[0]]
+    assert [list(a[some]) for a in (q, r, best)] == [list(a[again]) for a in found]
