@@ -8,7 +8,8 @@ to it, range-partitioned by that key, and cut into annuli (distance ranges of a
 A query orders the annuli by the bound that the triangle inequality gives for their
 scores. It first searches the best ones; its k-th score there stops the expansion: only
 annuli whose bound reaches that score are searched after them. Distances are doubles,
-so bounds are widened by a relative 1e-9; scores are exact integers.
+so bounds are widened by a relative 1e-9; scores are exact integers. Blocks are searched
+where they lie: queries come in passes of bounded bytes, and k rows per query leave a task.
 """
 
 from __future__ import annotations
@@ -17,16 +18,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import as_rows, from_rows, prepare, stored, vectors_of, wide
+from rankloom.llm.common import BestHits, as_rows, from_rows, passes, prepare, stored, vectors_of, wide
+from rankloom.scale import spread, union_all
 
 SCALE = 1024
 #: Rows that pivots are chosen from (least id hashes), and pivots.
 SAMPLE, PIVOTS = 512, 16
-#: Rows of a block, annuli in all (about), and queries that travel together.
+#: Rows of a block, annuli in all (about), and queries that are scored together.
 BLOCK_ROWS, MOST_ANNULI, QUERY_ROWS = 1024, 4096, 1000
 #: Rows of a range partition of the index.
 PARTITION_ROWS = 65_536
@@ -149,10 +151,18 @@ class Annuli:
     def bounds(self, pivots: Pivots, queries: np.ndarray) -> np.ndarray:
         """(queries, annuli): no row of the annulus scores higher."""
         away = pivots.to(queries, query=True)[:, self.pivot]
-        slack = 1e-9 * (away + np.sqrt(pivots.most)) + 1e-6
-        gap = np.maximum(np.maximum(away - self.high, self.low - away) - slack, 0.0)
-        top = pivots.most + (queries * queries).sum(axis=1)[:, None] - gap * gap
-        return top / 2 + 1e-9 * np.abs(top) + 1.0
+        return highest(away, self.low, self.high, pivots.most + (queries * queries).sum(axis=1)[:, None])
+
+
+def highest(away: np.ndarray, low: np.ndarray | float, high: np.ndarray | float, most: np.ndarray) -> np.ndarray:
+    """What no row scores more than whose distance to a pivot is low..high; ``away`` are the queries' distances to it.
+
+    ``most``: the squared norms of the lifted rows and the queries, added up.
+    """
+    slack = 1e-9 * (away + np.sqrt(most)) + 1e-6
+    gap = np.maximum(np.maximum(away - high, low - away) - slack, 0.0)
+    top = most - gap * gap
+    return top / 2 + 1e-9 * np.abs(top) + 1.0
 
 
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -181,68 +191,73 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     index, pivots = built
     asked = stored(scaled(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
-    asked = asked.repartition(max(1, -(-asked.count() // QUERY_ROWS)))
     shared = spark.sparkContext.broadcast((pivots, Annuli(index)))
 
-    def choose(later: bool):
-        """Bundles of queries for each annulus to search: the first ones, or those that the k-th score leaves."""
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds the annuli that a query searches first."""
+        pivots, annuli = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bounds = annuli.bounds(pivots, from_rows(batch.column(1).to_pylist(), "<f8"))
+            order = np.argsort(-bounds, axis=1, kind="stable")
+            before = np.cumsum(annuli.n[order], axis=1) - annuli.n[order]
+            first = (before <= k) | (np.arange(len(annuli.ids)) < FIRST_ANNULI)
+            ends = np.concatenate([[0], np.cumsum(first.sum(axis=1))])
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(annuli.ids[order[first]], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, listed], ["vec_id", "v", "first"])
+
+    asked = stored(asked.mapInArrow(choose, "vec_id long, v binary, first array<long>"), "asked-annuli")
+    blocks = spread(index.select("annulus", "pivot", "low", "high", "ids", "v"))
+
+    def searched(wanted: Broadcast, later: bool) -> DataFrame:
+        """Hits of a pass in the first annuli of its queries, or in those that the k-th score leaves."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pivots, annuli = shared.value
+            names, best = wanted.value.column(0).to_numpy(), None
+            if not len(names):
+                return
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                ids = batch.column(0).to_numpy()
-                vectors = from_rows(batch.column(1).to_pylist(), "<f8")
-                bounds = annuli.bounds(pivots, vectors)
-                order = np.argsort(-bounds, axis=1, kind="stable")
-                before = np.cumsum(annuli.n[order], axis=1) - annuli.n[order]
-                first = (before <= k) | (np.arange(len(annuli.ids)) < FIRST_ANNULI)
-                wanted = np.zeros(bounds.shape, bool)
-                np.put_along_axis(wanted, order, first, axis=1)
-                least = np.full(len(ids), np.iinfo(np.int64).min)
-                if later:
-                    least = batch.column(2).to_numpy()
-                    wanted = ~wanted & (bounds >= least[:, None])
-                found = []
-                for at in np.flatnonzero(wanted.any(axis=0)):
-                    some = wanted[:, at]
-                    found.append((int(annuli.ids[at]), ids[some].tobytes(), least[some].tobytes(), vectors[some].tobytes()))
-                columns = list(zip(*found)) if found else [[]] * 4
-                kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["annulus", "query_ids", "least", "q"])
-
-        return run
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [np.zeros((0, 3), np.int64)]
-            for query_ids, least, q, ids, v in zip(*(c.to_pylist() for c in batch.columns)):
-                query_ids, least, ids = (np.frombuffer(x, np.int64) for x in (query_ids, least, ids))
-                scores = _scores(np.frombuffer(q, "<f8").reshape(len(query_ids), -1), np.frombuffer(v, "<f8").reshape(len(ids), -1))
-                for i, query in enumerate(query_ids):
-                    allowed = np.flatnonzero((scores[i] >= least[i]) & (ids != query))
-                    if len(allowed) > k:  # all that reach the k-th score, ties and repeated rows included
-                        allowed = allowed[np.lexsort((ids[allowed], -scores[i][allowed]))]
-                    _, once = np.unique(np.column_stack([ids[allowed], scores[i][allowed]]), axis=0, return_index=True)
-                    best = allowed[np.sort(once)][:k] if len(allowed) > k else allowed[once]
-                    out.append(np.column_stack([np.full(len(best), query), ids[best], scores[i][best]]))
-            found = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], ["query_id", "vec_id", "score"])
-
-    bundle = "annulus long, query_ids binary, least binary, q binary"
-    blocks = index.select("annulus", "ids", "v")
-
-    def searched(bundles: DataFrame) -> DataFrame:
-        return bundles.join(blocks, "annulus").select("query_ids", "least", "q", "ids", "v").mapInArrow(score, schema)
+                for row in zip(*batch.columns):
+                    annulus, pivot, low, high = (c.as_py() for c in row[:4])
+                    if best is None:
+                        pivots, _ = shared.value
+                        queries = from_rows(wanted.value.column(1).to_pylist(), "<f8")
+                        best = BestHits(len(names), k, np.int64, by_id=False)
+                        lists = wanted.value.column(2).combine_chunks()
+                        first, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                        by = np.argsort(first, kind="stable")
+                        first, owner = first[by], owner[by]
+                        if later:
+                            best.least[:] = wanted.value.column(3).to_numpy()
+                            away, most = pivots.to(queries, query=True), pivots.most + (queries * queries).sum(axis=1)
+                    mine = owner[slice(*np.searchsorted(first, [annulus, annulus + 1]))]
+                    if later:
+                        reach = highest(away[:, pivot], low, high, most) >= best.least
+                        reach[mine] = False
+                        mine = np.flatnonzero(reach)
+                    ids = np.frombuffer(row[4].as_buffer(), np.int64)
+                    v = np.frombuffer(row[5].as_buffer(), "<f8").reshape(len(ids), -1)
+                    few = not later and len(ids) > k + 1 and len(np.unique(ids)) == len(ids)
+                    for start in range(0, len(mine), QUERY_ROWS):
+                        some = mine[start : start + QUERY_ROWS]
+                        scores = _scores(queries[some], v)
+                        least = best.least[some]
+                        if few:  # the best k + 1 rows, own one included, and those that equal the last
+                            least = np.maximum(least, np.partition(scores, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1])
+                        at, column = np.nonzero((scores >= least[:, None]) & (ids != names[some][:, None]))
+                        best.add(some[at], ids[column], scores[at, column])
+            if best is not None:
+                yield from best.batches(names)
+
+        return blocks.mapInArrow(run, schema)
 
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    first = stored(searched(asked.mapInArrow(choose(False), bundle)), "first-annuli")
+    first = stored(union_all([searched(wanted, False) for wanted in passes(asked)]), "first-annuli")
     ranked = first.distinct().withColumn("rank", F.row_number().over(place))
     reached = ranked.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
     lowest = F.lit(-(1 << 63)).cast("long")
-    going_on = asked.join(reached, "vec_id", "left").select("vec_id", "v", F.coalesce("least", lowest).alias("least"))
-    going_on = going_on.repartition(max(1, asked.rdd.getNumPartitions()))
-    rest = searched(going_on.mapInArrow(choose(True), bundle))
+    going_on = stored(asked.join(reached, "vec_id", "left").select("vec_id", "v", "first", F.coalesce("least", lowest).alias("least")), "asked-further")
+    rest = union_all([searched(wanted, True) for wanted in passes(going_on)])
     found = first.unionByName(rest).distinct().withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

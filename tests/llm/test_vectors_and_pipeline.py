@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rankloom.llm import pivot_index, toxicity, vantage
+from rankloom.llm import common, pivot_index, toxicity, vantage
 
 SF = "/root/testdata/sf0.001"
 
@@ -82,3 +82,35 @@ def test_vectors_beyond_64_bits_are_an_error(spark):
     rows = spark.createDataFrame([(0, [1e10] * 4), (1, [1.0] * 4)], "vec_id long, embedding array<float>")
     with pytest.raises(Exception, match="too long"):
         pivot_index.search(rows, rows, 2).collect()
+
+
+@pytest.mark.parametrize("search", [pivot_index.search, vantage.search])
+def test_queries_in_several_passes_find_the_same_and_are_not_copied_for_each_block(spark, monkeypatch, search):
+    df = frame(spark, odd_vectors())
+    asked = df.where("vec_id % 10 = 0")
+    whole = sorted(tuple(r) for r in search(df, asked, 5).collect())
+    monkeypatch.setattr(common, "PASS_BYTES", 800)
+    monkeypatch.setattr(common, "POOL_ROWS", 20)
+    monkeypatch.setattr(common, "HIT_ROWS", 7)
+    found = search(df, asked, 5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") >= 2 and "Join" not in plan  # a pass each, and no query travels to a block
+    assert sorted(tuple(r) for r in found.collect()) == whole
+
+
+def test_best_hits_keep_ties_to_smaller_ids_and_count_equal_ones_once():
+    draw = np.random.default_rng(5)
+    query, ids, scores = (draw.integers(0, n, 3000) for n in (7, 60, 12))
+    for by_id in (False, True):
+        best = common.BestHits(7, 9, np.int64, by_id)
+        for some in np.array_split(np.arange(3000), 40):
+            best.add(query[some], ids[some], scores[some])
+            best.cut()
+        got = [tuple(r.values()) for b in best.batches(np.arange(7) * 100) for r in b.to_pylist()]
+        want = []
+        for q in range(7):
+            hits = {(-s, i) for x, i, s in zip(query.tolist(), ids.tolist(), scores.tolist()) if x == q}
+            if by_id:
+                hits = {(min(s for s, other in hits if other == i), i) for _, i in hits}
+            want += [(q * 100, i, -s) for s, i in sorted(hits)[:9]]
+        assert got == want
