@@ -8,7 +8,8 @@ With factor 1 that is the triangle inequality, and the search is exact; a larger
 factor leaves out more.
 
 A shard is a run of rows of a task, so building moves nothing and no shard is large.
-Every query meets every shard, in bundles; what leaves a shard is k rows per query.
+Every query meets every shard where the shard lies: queries come in passes of bounded
+bytes, and what leaves a task is k rows per query, over all of its shards.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import as_rows, from_rows, prepare, stored, vectors_of, wide
-from rankloom.llm.packing import bases
+from rankloom.llm.common import BestHits, as_rows, from_rows, passes, prepare, stored, vectors_of, wide
+from rankloom.scale import spread, union_all
 
-SHARD_ROWS, LEAF_ROWS, QUERY_ROWS = 4096, 64, 1000
+SHARD_ROWS, LEAF_ROWS, QUERY_ROWS = 4096, 64, 2000
 #: How much the distance to a border counts for; 1 is exact.
 FACTOR = 4.0
 _PLACES, _STEPS, _FAR = 13, float(1 << 40), np.iinfo(np.int64).max
@@ -73,6 +74,11 @@ class Tree:
         place[np.lexsort((np.arange(len(ids)), ids))] = np.arange(len(ids))
         at_place = np.argsort(place)
         best = np.full((len(queries), k), _FAR)
+        last = np.full(len(queries), _FAR)  # the largest of ``best``
+        inner = np.flatnonzero(self.nodes[:, 0] >= 0)
+        column = np.zeros(len(self.nodes), np.int64)
+        column[inner] = np.arange(len(inner))
+        borders = lengths(queries, unit[self.nodes[inner, 0]]) - self.medians[inner]
 
         def visit(at: int, some: np.ndarray) -> None:
             if not len(some):
@@ -81,16 +87,22 @@ class Tree:
             if vantage < 0:
                 inside = self.order[left:right]
                 squared = np.maximum(2 - 2 * (queries[some] @ unit[inside].T), 0.0)
+                # most queries have k nearer rows by now, and nothing of the leaf comes in
+                near = (squared * _STEPS <= (last[some] >> _PLACES)[:, None] + 1.0).any(axis=1)
+                some, squared = some[near], squared[near]
+                if not len(some):
+                    return
                 away = np.rint(squared * _STEPS).astype(np.int64) << _PLACES | place[inside]
                 away[own[some][:, None] == ids[inside][None]] = _FAR
                 both = np.concatenate([best[some], away], axis=1)
-                best[some] = np.partition(both, k - 1, axis=1)[:, :k]
+                kept = np.partition(both, k - 1, axis=1)[:, :k]
+                best[some], last[some] = kept, kept.max(axis=1)
                 return
-            border = lengths(queries[some], unit[vantage : vantage + 1])[:, 0] - self.medians[at]
+            border = borders[some, column[at]]
             near = border <= 0
             visit(left, some[near])
             visit(right, some[~near])
-            kth = np.sqrt((best[some].max(axis=1) >> _PLACES) / _STEPS)
+            kth = np.sqrt((last[some] >> _PLACES) / _STEPS)
             open_ = np.abs(border) * factor <= kth + 1e-6
             visit(right, some[near & open_])
             visit(left, some[~near & open_])
@@ -163,47 +175,38 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, factor: float = FACT
     """
     prepare(rows.sparkSession)
     index = build(rows)
-    shards = index.count()
     asked = stored(usable(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
-    asked = asked.repartition(max(1, -(-asked.count() // QUERY_ROWS)))
-
-    def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                matrix = from_rows(batch.column(1).to_pylist(), "<f8")
-                row = [[batch.column(0).to_numpy().tobytes()], [matrix.tobytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in row], ["query_ids", "q"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[np.ndarray, ...]] = []
-            for query_ids, q, ids, v, order, nodes, medians in zip(*(c.to_pylist() for c in batch.columns)):
-                query_ids, ids = np.frombuffer(query_ids, "<i8"), np.frombuffer(ids, "<i8")
-                q, v = np.frombuffer(q, "<f8").reshape(len(query_ids), -1), np.frombuffer(v, "<f8").reshape(len(ids), -1)
-                width = max(q.shape[1], v.shape[1])
-                q, v = wide(q, width), wide(v, width)
-                tree = Tree(np.frombuffer(order, np.int32), np.frombuffer(nodes, np.int32).reshape(-1, 3), np.frombuffer(medians, np.float64))
-                found = tree.search(unit_rows(v), unit_rows(q), query_ids, ids, 2 * k, factor)  # some more than k, for equal scores
-                at, column = np.nonzero(found >= 0)
-                row = found[at, column]
-                a, b = q[at], v[row]
-                score = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
-                by = np.lexsort((ids[row], -score, at))
-                at, row, score = at[by], row[by], score[by]
-                new = np.ones(len(at), bool)
-                new[1:] = (at[1:] != at[:-1]) | (ids[row][1:] != ids[row][:-1])
-                at, row, score = at[new], row[new], score[new]
-                nth = np.arange(len(at)) - np.searchsorted(at, at)
-                some = nth < k
-                out.append((query_ids[at[some]], ids[row[some]], score[some]))
-            columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
-
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(shards - 1, 0)).cast("long"))).alias("shard")
-    asks = asked.mapInArrow(bundles, "query_ids binary, q binary").select("query_ids", "q", every)
-    numbered = index.join(F.broadcast(bases(index, "one")), "part").withColumn("shard", F.col("base") + F.col("run"))
-    pairs = asks.join(numbered, "shard").select("query_ids", "q", "ids", "v", "order", "nodes", "medians")
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+    shards = spread(index.select("ids", "v", "order", "nodes", "medians"))
+
+    def searched(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, best = shared.value.column(0).to_numpy(), None
+            for batch in batches:
+                for row in zip(*batch.columns):
+                    if best is None:
+                        queries = from_rows(shared.value.column(1).to_pylist(), "<f8")
+                        best = BestHits(len(names), k, np.float64, by_id=True)
+                    ids, v, order, nodes, medians = (c.as_buffer() for c in row)
+                    ids = np.frombuffer(ids, "<i8")
+                    v = np.frombuffer(v, "<f8").reshape(len(ids), -1)
+                    tree = Tree(np.frombuffer(order, np.int32), np.frombuffer(nodes, np.int32).reshape(-1, 3), np.frombuffer(medians, np.float64))
+                    width = max(queries.shape[1], v.shape[1])
+                    v = wide(v, width)
+                    unit, norms = unit_rows(v), np.sqrt((v * v).sum(axis=1))
+                    for start in range(0, len(names), QUERY_ROWS):
+                        q, own = wide(queries[start : start + QUERY_ROWS], width), names[start : start + QUERY_ROWS]
+                        found = tree.search(unit, unit_rows(q), own, ids, 2 * k, factor)  # some more than k, for equal scores
+                        at, column = np.nonzero(found >= 0)
+                        row = found[at, column]
+                        a = q[at]
+                        score = (a * v[row]).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * norms[row])
+                        best.add(at + start, ids[row], score)
+            if best is not None:
+                yield from best.batches(names)
+
+        return shards.mapInArrow(run, "query_id long, vec_id long, score double")
+
+    found = union_all([searched(shared) for shared in passes(asked)])
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select(
