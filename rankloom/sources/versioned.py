@@ -21,6 +21,8 @@ from rankloom.sources.store import dealt_by
 
 #: Rows of a bucket that are aimed at, and buckets at most.
 BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 4096
+#: Up to so many rows are dealt to their buckets by a shuffle, for fewer files; more are written where they are made.
+DEALT_ROWS = 1_000_000
 _MANIFEST = "bucket int, folder string, batch long"
 
 
@@ -68,11 +70,17 @@ class VersionedTable:
         return sorted(r[0] for r in changes.select(self.bucket()).distinct().collect())  # at most MOST_BUCKETS
 
     # ------------------------------------------------------------------- writing
-    def _write(self, rows: DataFrame) -> list[tuple[int, str]]:
+    def _write(self, rows: DataFrame, about: int) -> list[tuple[int, str]]:
+        """Writes ``about`` so many rows."""
         folder = uuid.uuid4().hex
+        path = f"{self.path}/data/{folder}"
         named = rows.select(*self.schema.names).withColumn("bucket", self.bucket())
-        named, held = dealt_by(named, ["bucket"])
-        named.write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
+        if about <= DEALT_ROWS:
+            named, held = dealt_by(named, ["bucket"])
+            named.write.partitionBy("bucket").parquet(path)
+        else:
+            named.write.option("compression", "zstd").partitionBy("bucket").parquet(path)
+            held = self.spark.read.schema("bucket int").parquet(path).distinct().collect()  # at most MOST_BUCKETS
         return [(bucket, f"{folder}/bucket={bucket}") for (bucket,) in held]
 
     def _switch(self, version: int, entries: Sequence[tuple[int, str]], batch: int | None) -> int:
@@ -91,7 +99,7 @@ class VersionedTable:
         entries = self.manifest(newest if base is None else base)
         buckets = set(self.touched_by(touched))
         current = self._of([folder for bucket, folder in entries if bucket in buckets])
-        written = self._write(change(current)) if buckets else []
+        written = self._write(change(current), current.count() + touched.count()) if buckets else []
         return self._switch(newest + 1, [e for e in entries if e[0] not in buckets] + written, batch)
 
     def append_new(self, rows: DataFrame, key: Sequence[str], batch: int | None = None) -> int:
@@ -110,19 +118,20 @@ class VersionedTable:
         if n:
             missing = broadcast_if_small(missing.toDF(*[f"_{c}" for c in key]))
             fresh = rows.join(missing, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key], "left_semi").dropDuplicates(key)
-            self._switch(newest + 1, entries + self._write(cut_lineage(fresh)), batch)
+            self._switch(newest + 1, entries + self._write(cut_lineage(fresh), n), batch)
         return n
 
 
 def create(df: DataFrame, by: Sequence[str], path: str, buckets: int | None = None) -> VersionedTable:
     """Write ``df`` as version 0; the number of buckets follows the number of rows unless it is given."""
     spark = df.sparkSession
+    n = df.count()
     if buckets is None:
-        buckets = min(MOST_BUCKETS, max(8, -(-df.count() // BUCKET_ROWS)))
+        buckets = min(MOST_BUCKETS, max(8, -(-n // BUCKET_ROWS)))
     table = VersionedTable(spark, path, list(by), buckets, df.schema)
     about = spark.createDataFrame([(list(by), buckets, df.schema.json())], "by array<string>, buckets int, schema string")
     about.coalesce(1).write.parquet(f"{path}/about")
-    table._switch(0, table._write(df), None)
+    table._switch(0, table._write(df, n), None)
     return table
 
 

@@ -305,3 +305,39 @@ def test_sketched_percentiles_and_their_repair(spark, monkeypatch):
     merged = capacity.merged_sketches(capacity.sketches(frame.withColumn("day", F.col("value") % 5), ["user_id", "day"], "value"), ["user_id"])
     errors = capacity.rank_errors(frame, capacity.sketch_percentile(merged, "user_id", 0.9), "user_id", "value", 0.9)
     assert all(r.rank_error <= 0.005 for r in errors.collect())
+
+
+def test_large_upserts_leave_other_documents_in_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versioned, "DEALT_ROWS", 0)
+    monkeypatch.setattr(versioned, "dealt_by", None)  # rows are written where they are made
+    key = ["doc_id", "strategy", "part"]
+    rows_ = [(i, s, p, f"text {i} {s} {p}") for i in range(60) for s in ("a", "b") for p in range(2)] + [(None, "a", 0, "no id")]
+    frame = spark.createDataFrame(rows_, "doc_id bigint, strategy string, part int, text string")
+    table = versioned.create(frame, ["doc_id"], str(tmp_path / "t"), buckets=4)
+    change = spark.createDataFrame([(i, "a", 0, "new") for i in (3, 4, 90, None)], frame.schema)
+    plan = lifecycle.upsert(frame, change, key, ["doc_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=bcast") + plan.count("strategy=broadcast") >= 2
+    version = lifecycle.upsert_into(table, change, key)
+    want = sorted(map(str, [r for r in rows_ if r[:3] not in {(3, "a", 0), (4, "a", 0)}] + [tuple(r) for r in change.collect()]))
+    assert sorted(str(tuple(r)) for r in table.rows(version).collect()) == want
+    assert table.append_new(frame.limit(0), key) == 0
+
+
+def test_many_changes_are_applied_without_moving_texts(spark, tmp_path, monkeypatch):
+    schema = "doc_id bigint, text string, op string, seq bigint"
+    rows_ = [(i, f"a{i} b c", "insert", 1) for i in range(40)] + [(i, f"z{i} y", "delete" if i % 4 == 0 else "update", 2) for i in range(0, 40, 2)]
+    rows_ += [(50, "same same same", "insert", 1)] * 2 + [(None, "none", "insert", 1), (60, "lost", "insert", None)]
+    feed = spark.createDataFrame(rows_, schema)
+
+    def build(docs):
+        return chunking.fixed_chunks(docs, 2, 0)
+
+    old = build(spark.createDataFrame([(7, "old old old old old old old"), (60, "old"), (70, "stays")], "doc_id bigint, text string"))
+    got = {}
+    for many in (0, 10**9):
+        monkeypatch.setattr(lifecycle, "MANY_CHANGES", many)
+        table = versioned.create(old, ["doc_id"], str(tmp_path / str(many)), buckets=4)
+        got[many] = sorted(map(str, table.rows(lifecycle.apply_changes_to(table, feed, build)).collect()))
+    assert got[0] == got[10**9] and len(got[0]) > 40
+    last, _ = lifecycle._latest_in_place(feed.where("doc_id < 50"))
+    assert "max_by" not in last._jdf.queryExecution().optimizedPlan().toString()
