@@ -356,8 +356,6 @@ def test_vector_searches_ask_every_row(spark, tmp_path):
     exact = {(r.query_id, r["rank"]): r.vec_id for r in found["nearest_vectors"]}
     assert exact == {(r.query_id, r["rank"]): r.vec_id for r in found["nearest_vectors_in_blocks"]}
     assert {(r.query_id, r["rank"]): r.vec_id for r in found["cell_search_all_cells"]} == {k: v for k, v in exact.items() if k[1] <= 5}
-    judged = {n: catalogue.QUERIES[n](spark, str(tmp_path)).first() for n in ("cell_search_recall", "product_code_recall", "graph_search_recall", "projection_search_recall")}
-    assert [row.n_exact for row in judged.values()] == [5 * 320, 5 * 320, 5 * 16, 5 * 16] and all(row.scores_exact for row in judged.values())
 
 
 def test_positions_below_what_is_known_are_left_out():
@@ -370,3 +368,34 @@ def test_positions_below_what_is_known_are_left_out():
     found = topk.best_positions(scores, 5, least)
     again = found[2] >= least[found[0]]
     assert [list(a[some]) for a in (q, r, best)] == [list(a[again]) for a in found]
+
+
+def test_terms_of_rows_are_counted_once_for_all_blocks_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_TILE", 1)
+    words = ["a", "b", "c", "d", "e"]
+    docs = spark.createDataFrame([(i, [words[(i * j) % 5] for j in range(i % 7)]) for i in range(30)] + [(30, None)], "doc_id long, terms array<string>")
+    claims = spark.createDataFrame([(q, f"{words[q % 5]} {words[q // 5]} x") for q in range(20)], "query_id long, query string")
+    asked = lexical.query_weights(claims, lexical.term_weights(docs.where("doc_id < 30"))).toArrow()
+    scorer, calls = lexical.LexicalScorer(), []
+    rows = docs.toArrow()
+    blocks = topk.query_blocks(scorer, asked)
+    assert len(blocks) == 20
+    whole = [scorer.scores(b.data, rows) for b in blocks]
+    read = lexical.LexicalScorer.read
+    monkeypatch.setattr(lexical.LexicalScorer, "read", lambda self, tile: calls.append(1) or read(self, tile))
+    hits = [r for b in topk._hits(scorer, blocks, rows, ["doc_id"], 3) for r in b.to_pylist()]
+    assert len(calls) == 1
+    for block, scores in zip(blocks, whole):
+        name = block.ids[0].as_py()
+        want = sorted((-round(s, 9), i) for i, s in enumerate(scores[0]) if s == s)[:3]
+        assert sorted((-round(h["score"], 9), h["doc_id"]) for h in hits if h["query_id"] == name) == want
+
+
+def test_recall_queries_ask_every_row(spark, tmp_path):
+    from rankloom.plans import catalogue
+
+    draw = np.random.default_rng(2).normal(size=(320, 32))
+    rows = [(i, [float(x) for x in v / np.linalg.norm(v)], i % 3) for i, v in enumerate(draw)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    judged = {n: catalogue.QUERIES[n](spark, str(tmp_path)).first() for n in ("cell_search_recall", "product_code_recall", "graph_search_recall", "projection_search_recall")}
+    assert [row.n_exact for row in judged.values()] == [5 * 320, 5 * 320, 5 * 16, 5 * 16] and all(row.scores_exact for row in judged.values())
